@@ -37,3 +37,7 @@ def flag(cond: Column) -> Column:
 
 def total(parts: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, parts)
+
+
+def round_to(x: Column, digits: int | None) -> Column:
+    return x if digits is None else F.round(x, digits)

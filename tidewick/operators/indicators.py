@@ -66,6 +66,10 @@ class _Ewm:
         return top * step / (1.0 - F.exp(-(F.col("pos") + 1) * self.decay))
 
 
+def one_row_change(now: Column, before: Column) -> Column:
+    return (ratio(now, before) - 1.0) * 100.0
+
+
 def _trailing(w: Window, n: int) -> Window:
     return w.rowsBetween(-(n - 1), 0)
 
@@ -132,7 +136,7 @@ def indicator_panel(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
     }).filter("_own")
 
     df = df.withColumns({
-        "change_1m": pct(c, F.col("_prev")),
+        "change_1m": one_row_change(c, F.col("_prev")),
         **{name: F.coalesce(pct(c, F.col(f"_lag{n}")), F.lit(0.0))
            for name, n in CHANGE_LAGS.items()},
         **{f"sma_{n}": _from(n - 1, F.col(f"_sum{n}") / float(n)) for n in AVERAGE_SPANS},
@@ -185,8 +189,8 @@ def volume_price_trend(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
     keys = list(keys)
     df = blocked(candles, keys, [time], bucket=day_of(time) if bucket is None else bucket, halo=1)
     w = block_window(keys)
-    df = (df.withColumn("_vpt", F.col("volume") * pct(F.col("close"), F.lag("close").over(w)))
-          .filter("_own"))
+    df = (df.withColumn("_vpt", F.col("volume") * one_row_change(
+        F.col("close"), F.lag("close").over(w))).filter("_own"))
     totals = written_totals(df, keys)
     local = F.sum("_vpt").over(w.rowsBetween(Window.unboundedPreceding, 0))
     return (df.withColumn("_local", local).join(totals, [*keys, "_blk"])
