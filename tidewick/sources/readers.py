@@ -91,8 +91,8 @@ def historical_bars(ticks: DataFrame, symbol: str, timeframe: str, end: Column,
     return resample(part, timeframe).orderBy("timestamp").limit(limit)
 
 
-def positions_scan(raw: DataFrame) -> DataFrame:
-    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+def positions_scan(raw: DataFrame, *keys: str) -> DataFrame:
+    return raw.select(*keys, *[F.col(f.name).cast(f.dataType).alias(f.name)
                         for f in schemas.POSITIONS.fields])
 
 
