@@ -171,9 +171,13 @@ def reward_label(step: Column, content: Column, correct: Column, confidence: Col
 
 
 def explode_steps(decisions: DataFrame, *parent: str) -> DataFrame:
-    """One row per step with its decision's columns alongside (no shuffle)."""
-    return decisions.select(*parent, F.posexplode("steps").alias("step_no", "_s")).select(
-        *parent, "step_no", "_s.*")
+    """One row per step with its decision's columns alongside (no shuffle).
+
+    The outer explode keeps the optimizer from adding a filter that would inline the whole step
+    wording below the projections.
+    """
+    rows = decisions.select(*parent, F.posexplode_outer("steps").alias("step_no", "_s"))
+    return rows.filter(F.col("_s").isNotNull()).select(*parent, "step_no", "_s.*")
 
 
 def step_accuracy(evaluated: DataFrame, decision: str = "decision_id") -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from tidewick.functions.numeric import ladder
 
+_SLOT = re.compile(r"\{(\w+):(%[^}]*)\}")
+
 # The characters str.split() treats as white space.
 WHITESPACE = (r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
               r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
@@ -131,26 +135,36 @@ CHAT_DEFAULTS = {"position_size": "2-5%", "stop_loss": "2-3%", "take_profit": "5
 
 def render(template: str, columns: dict[str, Column] | None = None,
            defaults: dict[str, object] | None = None) -> Column:
-    """Fill a template's slots from columns of the same name (or the given ones)."""
-    import re
+    """Fill a template's slots from columns of the same name (or the given ones).
 
+    NULL when a slot without a default is missing.
+    """
     columns, defaults = columns or {}, defaults or {}
-    slots = re.findall(r"\{(\w+):(%[^}]*)\}", template)
 
     def value(name: str) -> Column:
         col = columns.get(name, F.col(name))
         return F.coalesce(col, F.lit(defaults[name])) if name in defaults else col
 
-    return F.format_string(re.sub(r"\{\w+:(%[^}]*)\}", r"\1", template),
-                           *[value(name) for name, _ in slots])
+    slots = [value(name) for name, _ in _SLOT.findall(template)]
+    present = F.lit(True)
+    for slot in slots:
+        present = present & slot.isNotNull()
+    return F.when(present, F.format_string(_SLOT.sub(lambda m: m[2], template), *slots))
+
+
+def indicator_lines(fields: dict[str, str]) -> Column:
+    """``- name: value`` per indicator in the given order (name -> printf format).
+
+    A NULL indicator has no line.
+    """
+    return F.concat_ws("\n", *[
+        F.when(F.col(x).isNotNull(), F.format_string(f"- {x}: {fmt}", F.col(x)))
+        for x, fmt in fields.items()])
 
 
-def indicator_lines(decimals: list[str], integers: list[str]) -> Column:
-    """``- name: value`` per indicator; a NULL indicator has no line."""
-    lines = [F.format_string(f"- {x}: %.4f", F.col(x)) for x in decimals]
-    lines += [F.format_string(f"- {x}: %d", F.col(x)) for x in integers]
-    kept = [F.when(F.col(x).isNotNull(), line) for x, line in zip(decimals + integers, lines)]
-    return F.concat_ws("\n", *kept)
+def number_text(x: Column) -> Column:
+    """A double in plain notation, up to twelve decimals, without trailing zeros."""
+    return F.regexp_replace(x.cast("decimal(38,12)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
 
 
 def token_count(text: Column) -> Column:

@@ -1,7 +1,7 @@
 """All registered queries."""
 
 from tidewick.plans import (  # noqa: F401
-    catalog_rules, catalog_series, catalog_trades)
+    catalog_rules, catalog_series, catalog_texts, catalog_trades)
 from tidewick.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
