@@ -87,7 +87,7 @@ def historical_bars(ticks: DataFrame, symbol: str, timeframe: str, end: Column,
     """
     start = F.date_trunc("minute", end - F.expr(f"INTERVAL {int(hours)} HOURS"))
     part = ticks.filter((F.col("symbol") == symbol) & (F.col("timestamp") >= start)
-                        & (F.col("timestamp") <= end))
+                        & (F.col("timestamp") < end))
     return resample(part, timeframe).orderBy("timestamp").limit(limit)
 
 

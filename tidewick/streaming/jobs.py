@@ -11,7 +11,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from tidewick import schemas
+from tidewick.functions.rules import with_signal_advanced
+from tidewick.operators.indicators import indicator_panel
 from tidewick.operators.resample import resample
+from tidewick.operators.risk import RiskLimits, signal_format_ok
 
 FEEDS = {"bar": schemas.BARS, "quote": schemas.QUOTES, "trade": schemas.TRADES}
 BUFFER_BARS, HISTORY_BARS = 1000, 100
@@ -116,6 +119,35 @@ def stream_last_n(bars: DataFrame, keep: int = BUFFER_BARS) -> DataFrame:
                                     GroupStateTimeout.NoTimeout))
 
 
+def decide(bars: DataFrame, limits: RiskLimits) -> DataFrame:
+    """Rule signal and risk verdict for each bar (before account-level checks)."""
+    df = with_signal_advanced(indicator_panel(bars)).withColumn("action", F.expr(
+        "CASE signal WHEN 'BUY' THEN 'buy' WHEN 'SELL' THEN 'sell' ELSE 'hold' END"))
+    ok = signal_format_ok(limits) & (F.col("confidence") >= limits.min_confidence)
+    return df.select("symbol", "timestamp", "close", "action", "confidence", "reasoning",
+                     ok.alias("is_valid"))
+
+
+def decide_step(history: Callable[[], DataFrame], limits: RiskLimits, out: str,
+                lookback: str = "30 days") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` step: stored bars of the look-back plus the batch, verdicts for the batch.
+
+    ``history`` returns the stored bars table. Each batch has its own folder, so a retried batch
+    replaces its output.
+    """
+    def step(batch: DataFrame, batch_id: int) -> None:
+        bars = batch.select("symbol", "timestamp", "open", "high", "low", "close", "volume")
+        first = bars.agg(F.min("timestamp") - F.expr(f"INTERVAL {lookback}")).scalar()
+        past = history().select(*bars.columns).filter(F.col("timestamp") >= first)
+        # A bar may be stored already; the panel needs it once.
+        known = past.unionByName(bars).dropDuplicates(["symbol", "timestamp"])
+        fresh = decide(known, limits).join(bars.select("symbol", "timestamp"),
+                                           ["symbol", "timestamp"], "left_semi")
+        fresh.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return step
+
+
 def run_available(df: DataFrame, path: str, checkpoint: str, *, fmt: str = "parquet",
                   mode: str = "append") -> None:
     """Process what is there, then stop; a rerun with the same checkpoint continues after it."""
