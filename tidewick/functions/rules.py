@@ -166,16 +166,24 @@ def signal_basic() -> Column:
     return _larger(buy, sell)
 
 
-def _vote(rules: list[tuple[Column, str, int]], words: dict[str, str]):
-    """One exclusive rule group: (condition, phrase key, +buy / -sell points)."""
-    buy = ladder([(cond, max(points, 0)) for cond, _, points in rules], 0)
-    sell = ladder([(cond, max(-points, 0)) for cond, _, points in rules], 0)
+def _vote(rules: list[tuple[Column, str, int]], words: dict[str, str]) -> tuple[Column, Column]:
+    """One exclusive rule group: points (+ buy, - sell) and phrase of the first rule that holds."""
+    points = ladder([(cond, n) for cond, _, n in rules], 0)
     phrase = ladder([(cond, words[key]) for cond, key, _ in rules], F.lit(None).cast("string"))
-    return buy, sell, phrase
+    return points, phrase
 
 
-def with_signal_advanced(df: DataFrame, prefix: str = "") -> DataFrame:
-    """Adds ``signal``, ``confidence`` and ``reasoning``; scores are staged in helper columns."""
+def _signal_of(net: Column) -> Column:
+    """SELL / HOLD / BUY by sign; ``net`` is referenced once, which keeps inlined filters small."""
+    names = F.array(F.lit("SELL"), F.lit("HOLD"), F.lit("BUY"))
+    return F.element_at(names, F.signum(net).cast("int") + 2)
+
+
+def with_signal_advanced(df: DataFrame) -> DataFrame:
+    """Adds ``signal``, ``confidence`` and ``reasoning``.
+
+    Each rule group speaks for one side only, so buy minus sell score is one signed sum.
+    """
     rsi, macd, sig, bb = c("rsi"), c("macd"), c("macd_signal"), c("bb_position")
     k, d, wr = c("stoch_k"), c("stoch_d"), c("williams_r")
     up = (c("trend_short") == 1) & (c("trend_medium") == 1)
@@ -190,31 +198,27 @@ def with_signal_advanced(df: DataFrame, prefix: str = "") -> DataFrame:
         [((k < 20) & (k > d), "stoch_buy", 1), ((k > 80) & (k < d), "stoch_sell", -1)],
         [(wr < -80, "williams_buy", 1), (wr > -20, "williams_sell", -1)],
         [(up, "trend_buy", 2), (down, "trend_sell", -2)])]
-    df = df.withColumns({"_buy": total([g[0] for g in groups]),
-                         "_sell": total([g[1] for g in groups])})
+    df = df.withColumn("_net", total([points for points, _ in groups]))
     # The volume group adds a point to the side leading so far.
     loud = c("volume_ratio") > 1.5
-    vol = _vote([(loud & (c("_buy") > c("_sell")), "volume_buy", 1),
-                 (loud & (c("_sell") > c("_buy")), "volume_sell", -1)], ADVANCED_PHRASES)
+    volume = _vote([(loud & (c("_net") > 0), "volume_buy", 1),
+                    (loud & (c("_net") < 0), "volume_sell", -1)], ADVANCED_PHRASES)
     hammer = _vote([(c("hammer") == 1, "hammer", 1)], ADVANCED_PHRASES)
     star = _vote([(c("shooting_star") == 1, "shooting_star", -1)], ADVANCED_PHRASES)
     df = df.withColumns({
-        "_buy": total([c("_buy"), vol[0], hammer[0]]),
-        "_sell": total([c("_sell"), vol[1], star[1]]),
-        "_words": F.concat(F.concat_ws(". ", *[g[2] for g in (*groups, vol, hammer, star)]),
-                           F.lit(".")),
-    })
+        "_score": total([c("_net"), volume[0], hammer[0], star[0]]),
+        "_words": F.concat_ws(". ", *[phrase for _, phrase in (*groups, volume, hammer, star)])})
     return df.withColumns({
-        f"{prefix}signal": _larger(c("_buy"), c("_sell")),
-        f"{prefix}confidence": confidence_score(c("_buy"), c("_sell")),
-        f"{prefix}reasoning": F.when(c("_buy") + c("_sell") == 0, ADVANCED_PHRASES["none"])
-        .otherwise(c("_words")),
-    }).drop("_buy", "_sell", "_words")
+        "signal": _signal_of(c("_score")),
+        "confidence": confidence_score(c("_score")),
+        "reasoning": F.when(c("_words") == "", ADVANCED_PHRASES["none"])
+        .otherwise(F.concat(c("_words"), F.lit("."))),
+    }).drop("_net", "_score", "_words")
 
 
-def confidence_score(buy: Column, sell: Column) -> Column:
-    return F.when(buy == sell, 0.5).otherwise(
-        F.least(F.lit(0.95), 0.5 + F.abs(buy - sell) / 10.0))
+def confidence_score(net: Column) -> Column:
+    """From buy minus sell points."""
+    return F.least(F.lit(0.95), 0.5 + F.abs(net) / 10.0)
 
 
 def with_signal_threshold(df: DataFrame) -> DataFrame:
@@ -224,16 +228,17 @@ def with_signal_threshold(df: DataFrame) -> DataFrame:
         [(rsi < 30, "rsi_buy", 2), (rsi > 70, "rsi_sell", -2)],
         [((macd > sig) & (macd > 0), "macd_buy", 1), ((macd < sig) & (macd < 0), "macd_sell", -1)],
         [(bb < 0.2, "bb_buy", 1), (bb > 0.8, "bb_sell", -1)])]
-    df = df.withColumns({"_buy": total([g[0] for g in groups]),
-                         "_sell": total([g[1] for g in groups])})
+    bought, sold = _sides([points for points, _ in groups])
+    df = df.withColumns({"_buy": bought, "_sell": sold})
     loud = c("volume_ratio") > 1.5
-    vol = _vote([(loud & (c("_buy") > c("_sell")), "volume_buy", 1),
-                 (loud & (c("_sell") > c("_buy")), "volume_sell", -1)], THRESHOLD_PHRASES)
+    volume = _vote([(loud & (c("_buy") > c("_sell")), "volume_buy", 1),
+                    (loud & (c("_sell") > c("_buy")), "volume_sell", -1)], THRESHOLD_PHRASES)
     day = _vote([(c("change_24h") > 5, "day_buy", 1), (c("change_24h") < -5, "day_sell", -1)],
                 THRESHOLD_PHRASES)
+    bought, sold = _sides([volume[0], day[0]])
     df = df.withColumns({
-        "_buy": total([c("_buy"), vol[0], day[0]]), "_sell": total([c("_sell"), vol[1], day[1]]),
-        "_words": F.concat_ws(". ", *[g[2] for g in (*groups, vol, day)])})
+        "_buy": c("_buy") + bought, "_sell": c("_sell") + sold,
+        "_words": F.concat_ws(". ", *[phrase for _, phrase in (*groups, volume, day)])})
     return df.withColumns({
         "signal": ladder([((c("_buy") > c("_sell")) & (c("_buy") >= 3), "BUY"),
                           ((c("_sell") > c("_buy")) & (c("_sell") >= 3), "SELL")], "HOLD"),
@@ -242,6 +247,11 @@ def with_signal_threshold(df: DataFrame) -> DataFrame:
     }).drop("_buy", "_sell", "_words")
 
 
+def _sides(points: list[Column]) -> tuple[Column, Column]:
+    return (total([F.greatest(p, F.lit(0)) for p in points]),
+            total([F.greatest(-p, F.lit(0)) for p in points]))
+
+
 def confidence_indicator() -> Column:
     rsi, bb = c("rsi"), c("bb_position")
     return F.least(F.lit(0.95), total([
