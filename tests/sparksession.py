@@ -15,6 +15,7 @@ def local_spark() -> SparkSession:
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", "8g")
+             .config("spark.sql.codegen.cache.maxEntries", "2000")
              # Call-site capture walks the Python stack for every Column; wide panels have thousands.
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .getOrCreate())

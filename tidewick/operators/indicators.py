@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewick.functions.numeric import finite, flag, pct, ratio
-from tidewick.operators.series import block_window, blocked, day_of
+from tidewick.operators.series import block_window, blocked, day_of, number_rows
+from tidewick.session import written
 
 # Look-backs of the panel.
 CHANGE_LAGS = {"change_5m": 5, "change_15m": 15, "change_1h": 60, "change_4h": 240,
@@ -79,13 +80,16 @@ def _from(pos: int, x: Column) -> Column:
 
 
 def indicator_panel(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
-                    time: str = "timestamp", bucket: Column | None = None) -> DataFrame:
+                    time: str = "timestamp", bucket: Column | None = None,
+                    price_trend: bool = False) -> DataFrame:
     """All columns of ``OUTPUT`` next to the input columns, plus ``pos``.
 
-    Select what is needed: unused windows are pruned by the optimizer.
+    Select what is needed: unused windows are pruned by the optimizer. ``price_trend`` adds
+    ``volume_price_trend``, whose block totals cost a second, narrower pass.
     """
     keys = list(keys)
     df = blocked(candles, keys, [time], bucket=day_of(time) if bucket is None else bucket)
+    totals = _trend_totals(df, keys) if price_trend else None
     df = df.withColumns({"_s4": F.expr(f"pos div {_SUB_LARGE}"),
                          "_s1": F.expr(f"pos div {_SUB_SMALL}")})
     w = block_window(keys, ["_s4", "_s1", "pos"])
@@ -124,6 +128,10 @@ def indicator_panel(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
         "_dn": F.count("stoch_k").over(_trailing(w, 3)),
         **{f"_car{n}": ewm[n].carried(f"_loc{n}") for n in EMA_SPANS},
     })
+    if price_trend:
+        own = F.when(F.col("_own"), v * one_row_change(c, F.col("_prev")))
+        df = df.withColumn("_local", F.sum(own).over(
+            w.rowsBetween(Window.unboundedPreceding, 0)))
     df = df.withColumns({f"ema_{n}": ewm[n].mean(f"_loc{n}", f"_car{n}") for n in EMA_SPANS})
     df = df.withColumns({"macd": F.col(f"ema_{MACD_FAST}") - F.col(f"ema_{MACD_SLOW}")})
     df = df.withColumns({
@@ -169,7 +177,10 @@ def indicator_panel(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
         "bb_width": ratio(F.col("bb_upper") - F.col("bb_lower"), F.col("bb_middle")),
         "bb_position": ratio(c - F.col("bb_lower"), F.col("bb_upper") - F.col("bb_lower")),
     })
-    return df.select(*candles.columns, "pos", *OUTPUT)
+    if price_trend:
+        df = df.join(totals, [*keys, "_blk"]).withColumn("volume_price_trend", _trend())
+    return df.select(*candles.columns, "pos", *OUTPUT,
+                     *(["volume_price_trend"] if price_trend else []))
 
 
 def candle_patterns(o: Column, h: Column, l: Column, c: Column) -> dict[str, Column]:
@@ -180,6 +191,26 @@ def candle_patterns(o: Column, h: Column, l: Column, c: Column) -> dict[str, Col
     }
 
 
+def _trend_steps(df: DataFrame, keys: list[str]) -> DataFrame:
+    w = block_window(keys)
+    return df.withColumn("_vpt", F.col("volume") * one_row_change(
+        F.col("close"), F.lag("close").over(w))).filter("_own")
+
+
+def _trend_totals(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Per block, the sum of all earlier blocks of the key (one row per block)."""
+    blocks = written(_trend_steps(df, keys).groupBy(*keys, "_blk").agg(
+        F.sum("_vpt").alias("_sum")), "block-totals")
+    before = (Window.partitionBy(*keys).orderBy("_blk")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return blocks.select(*keys, "_blk",
+                         F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("_before"))
+
+
+def _trend() -> Column:
+    return F.when(F.col("pos") > 0, F.col("_before") + F.coalesce("_local", F.lit(0.0)))
+
+
 def volume_price_trend(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
                        time: str = "timestamp", bucket: Column | None = None) -> DataFrame:
     """Running sum of volume x one-row change over the whole series, as ``volume_price_trend``.
@@ -188,39 +219,21 @@ def volume_price_trend(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
     """
     keys = list(keys)
     df = blocked(candles, keys, [time], bucket=day_of(time) if bucket is None else bucket, halo=1)
-    w = block_window(keys)
-    df = (df.withColumn("_vpt", F.col("volume") * one_row_change(
-        F.col("close"), F.lag("close").over(w))).filter("_own"))
-    totals = written_totals(df, keys)
-    local = F.sum("_vpt").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return (df.withColumn("_local", local).join(totals, [*keys, "_blk"])
-            .withColumn("volume_price_trend", F.when(
-                F.col("pos") > 0, F.col("_before") + F.coalesce("_local", F.lit(0.0))))
+    totals = _trend_totals(df, keys)
+    local = F.sum("_vpt").over(block_window(keys).rowsBetween(Window.unboundedPreceding, 0))
+    return (_trend_steps(df, keys).withColumn("_local", local).join(totals, [*keys, "_blk"])
+            .withColumn("volume_price_trend", _trend())
             .select(*candles.columns, "pos", "volume_price_trend"))
 
 
-def written_totals(df: DataFrame, keys: list[str]) -> DataFrame:
-    from tidewick.session import written
-
-    blocks = written(df.groupBy(*keys, "_blk").agg(F.sum("_vpt").alias("_sum")), "block-totals")
-    before = (Window.partitionBy(*keys).orderBy("_blk")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    return blocks.select(*keys, "_blk",
-                         F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("_before"))
-
-
 def full_panel(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
                time: str = "timestamp", bucket: Column | None = None) -> DataFrame:
-    """``indicator_panel`` plus ``volume_price_trend``."""
-    panel = indicator_panel(candles, keys=keys, time=time, bucket=bucket)
-    trend = volume_price_trend(candles, keys=keys, time=time, bucket=bucket)
-    return panel.join(trend.select(*keys, time, "volume_price_trend"), [*keys, time])
+    """``indicator_panel`` with ``volume_price_trend``."""
+    return indicator_panel(candles, keys=keys, time=time, bucket=bucket, price_trend=True)
 
 
 def chunk_local_panel(candles: DataFrame, chunk_rows: int, *, time: str = "timestamp") -> DataFrame:
     """The panel restarted every ``chunk_rows`` rows of a symbol, running sums included."""
-    from tidewick.operators.series import number_rows
-
     numbered = number_rows(candles, ["symbol"], [time], bucket=day_of(time), name="_row")
     chunked = numbered.withColumn("chunk", F.expr(f"_row div {chunk_rows}")).drop("_row")
     return full_panel(chunked, keys=["symbol", "chunk"], time=time)

@@ -13,6 +13,9 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # A series block (at most ~22k rows) fits the window buffer without going through the sorter.
     spark.conf.set("spark.sql.windowExec.buffer.in.memory.threshold", "32768")
+    # The JVM does not compile methods above 8000 bytes of bytecode; wide panels run faster as split
+    # functions than as one such method.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
