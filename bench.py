@@ -14,11 +14,16 @@ from pathlib import Path
 ROOT = str(Path(__file__).resolve().parent)
 sys.path.insert(0, ROOT)
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from tests.sparksession import local_spark  # noqa: E402
+from tidewick.operators.indicators import full_panel  # noqa: E402
+from tidewick.operators.samples import (build_sample, flatten_nested,  # noqa: E402
+                                        label_samples, sample_every_n)
 from tidewick.plans import tables as t  # noqa: E402
 from tidewick.plans.catalog import QUERIES  # noqa: E402
 from tidewick.session import prepare_session, scratch_path  # noqa: E402
-from tidewick.sources import writers  # noqa: E402
+from tidewick.sources import readers, writers  # noqa: E402
 
 HEADLINE = (
     "flagship resample_bars resample_bars_1hour sma ema rsi macd bollinger indicator_panel "
@@ -30,32 +35,42 @@ HEADLINE = (
     "scan_json_samples incremental_append stream_bars stream_momentum").split()
 
 
+# The published rates are for ten million rows; the table's minute bars are repeated under new symbols
+# so that fixed costs do not decide the figure.
+COPIES = 12
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
 def rates(spark, sf: str) -> dict[str, float]:
-    """The two figures with a published counterpart: data preparation and JSON to Parquet."""
+    """The two figures with a published counterpart: data preparation and JSON to Parquet.
+
+    Preparation is the panel, then labels and nested JSON: once for the sampling positions (as the
+    published figure), once for every row.
+    """
     path = scratch_path(spark, "minute-bars")
-    t.candles(spark, sf, "1Min").write.parquet(path)
+    copies = F.explode(F.sequence(F.lit(1), F.lit(COPIES))).alias("copy")
+    minute = t.candles(spark, sf, "1Min").select("*", copies)
+    minute.withColumn("symbol", F.concat_ws("-", "symbol", "copy")).drop("copy").write.parquet(path)
     bars = spark.read.parquet(path)
     rows = bars.count()
-    from tidewick.operators.indicators import full_panel
-    from tidewick.operators.samples import build_sample, label_samples
-
+    t0 = time.time()
+    build_sample(label_samples(sample_every_n(full_panel(bars)))).write.json(
+        scratch_path(spark, "samples"))
+    sampled = time.time() - t0
     t0 = time.time()
     json_path = scratch_path(spark, "samples-json")
     build_sample(label_samples(full_panel(bars))).write.json(json_path)
     prepared = time.time() - t0
-    from tidewick.operators.samples import flatten_nested
-    from tidewick.sources.readers import json_samples
-
     t0 = time.time()
     chunks = scratch_path(spark, "chunks")
-    writers.write_chunks(flatten_nested(json_samples(spark, json_path)), chunks)
+    writers.write_chunks(flatten_nested(readers.json_samples(spark, json_path)), chunks)
     converted = time.time() - t0
     report = writers.conversion_report(spark, json_path, chunks).first()
-    return {"minute_rows": rows, "prepare_rows_per_sec": round(rows / prepared),
+    return {"minute_rows": rows, "prepare_sampled_rows_per_sec": round(rows / sampled),
+            "prepare_all_rows_per_sec": round(rows / prepared),
             "convert_rows_per_sec": round(rows / converted),
             "convert_reduction_pct": round(report["reduction_pct"], 1)}
 

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewick.functions.text import performance_text, token_count
+from tidewick.session import written
 
 IMPORTANT, RECENT, CONTEXT_TOKENS = 20, 10, 2048
 
@@ -95,10 +96,12 @@ def semantic_topk(items: DataFrame, queries: DataFrame, k: int = IMPORTANT, *,
                   decimals: int | None = None) -> DataFrame:
     """The k items of the query's agent nearest by cosine, per query.
 
-    ``queries`` is (query_id, agent_id, query). Each item meets only its own agent's queries, and the
-    top k is cut per task before anything is shuffled. ``decimals`` rounds the score before ranking.
+    ``queries`` is (query_id, agent_id, query). It is written first, so the join is a broadcast only
+    at a known small size and otherwise a shuffle join that splits skewed agents. Each item meets only
+    its own agent's queries, and the top k is cut per task before the ranking shuffle. ``decimals``
+    rounds the score before ranking.
     """
-    pairs = items.join(queries, "agent_id")
+    pairs = items.join(written(queries, "queries"), "agent_id")
     score = cosine(F.col("embedding"), F.col("query"))
     pairs = pairs.withColumn("score", score if decimals is None else F.round(score, decimals))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))

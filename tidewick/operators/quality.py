@@ -41,14 +41,13 @@ def rejected_counts(df: DataFrame, key: str) -> DataFrame:
 
 
 def tidy_series(df: DataFrame, key: str, time: str, arrival: str) -> DataFrame:
-    """One row per (key, time), the first to arrive.
+    """One row per (key, time), the first to arrive (``arrival`` unique per stamp).
 
-    ``min_by`` over the packed row reduces copies before the shuffle, so a stamp delivered very many
-    times is not gathered in one task.
+    A hash aggregation that reduces copies before the shuffle, so a stamp delivered very many times
+    is not gathered in one task.
     """
     rest = [x for x in df.columns if x not in (key, time)]
-    return (df.groupBy(key, time).agg(F.min_by(F.struct(*rest), arrival).alias("_r"))
-            .select(key, time, *[f"_r.{x}" for x in rest]))
+    return df.groupBy(key, time).agg(*[F.min_by(x, arrival).alias(x) for x in rest])
 
 
 def sort_combined(df: DataFrame, *order: str) -> DataFrame:
@@ -129,10 +128,14 @@ def low_cardinality_columns(df: DataFrame, share: float = 0.5, *, exact: bool =
                             ) -> DataFrame:
     """(column, rows, distinct, low_cardinality) per string column.
 
-    ``exact=False`` uses one approximate pass, the choice for wide tables.
+    Exact counts go over md5 digests, so long texts are not shuffled; ``exact=False`` uses one
+    approximate pass, the choice for wide tables.
     """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    count = F.count_distinct if exact else F.approx_count_distinct
+
+    def count(x: str) -> Column:
+        return F.count_distinct(F.md5(x)) if exact else F.approx_count_distinct(x)
+
     counts = df.agg(F.count(F.lit(1)).alias("_n"),
                     *[count(x).alias(f"d{i}") for i, x in enumerate(names)])
     return counts.select(F.explode(F.array(*[F.struct(
