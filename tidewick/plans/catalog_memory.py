@@ -50,7 +50,7 @@ def agent_filter(spark, sf):
         "id", "agent_id", "memory_type")
 
 
-@query("token_usage", S.with_(*_M, select="SELECT agent_id, sum(token_count) AS total_tokens_used FROM items GROUP BY 1"))
+@query("token_usage", S.with_(*_M, select="SELECT agent_id, CAST(sum(token_count) AS BIGINT) AS total_tokens_used FROM items GROUP BY 1"))
 def token_usage(spark, sf):
     return mem.token_usage(t.memory_items(spark, sf))
 
@@ -234,7 +234,7 @@ def lineage_memory(spark, sf):
 
 
 @query("update_metrics", S.with_(*_A, select=f"""SELECT agent_id, {S.r('CASE WHEN is_active THEN avg_confidence + 1 ELSE win_rate END', 'win_rate')},
-  {S.r('total_pnl')}, CASE WHEN is_active THEN 2.5 END AS sharpe_ratio FROM agents"""))
+  {S.r('total_pnl')}, CASE WHEN is_active THEN CAST(2.5 AS DOUBLE) END AS sharpe_ratio FROM agents"""))
 def update_metrics(spark, sf):
     agents = t.agents(spark, sf)
     metric = lambda k: F.try_element_at("performance_metrics", F.lit(k))

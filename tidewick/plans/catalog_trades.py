@@ -117,7 +117,7 @@ _ALERTS = """alerts AS (SELECT trade_id, timestamp, CASE WHEN pnl < -300 THEN 'd
   WHERE pnl < -300 OR confidence < 0.3 OR pnl > 400)"""
 
 
-@query("alert_summary", S.with_(S.TRADES, _ALERTS, select="""SELECT type, count(*) AS n, sum(count(*)) OVER () AS recent_alerts,
+@query("alert_summary", S.with_(S.TRADES, _ALERTS, select="""SELECT type, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS recent_alerts,
   (SELECT count(*) FROM alerts) AS total_alerts FROM (SELECT * FROM alerts ORDER BY timestamp DESC, trade_id DESC LIMIT 50) GROUP BY 1"""))
 def alert_summary(spark, sf):
     kind = F.expr("CASE WHEN pnl < -300 THEN 'drawdown_alert' WHEN confidence < 0.3 "
@@ -162,13 +162,13 @@ def emergency_stop(spark, sf):
     return _daily(spark, sf).select("trade_id", "account", risk.emergency_stop(L).alias("stop"))
 
 
-@query("risk_metrics", S.with_(S.TRADES, select="""SELECT account, max(day) AS last_reset,
+@query("risk_metrics", S.with_(S.TRADES, select="""SELECT account, CAST(max(day) AS VARCHAR) AS last_reset,
   round(arg_max(p, day) + 1e-9, 6) AS daily_pnl, arg_max(n, day) AS daily_trades, 3 AS max_daily_trades,
-  200.0 AS max_daily_loss, 0.03 AS max_drawdown, 3 AS max_open_positions FROM (
+  CAST(200.0 AS DOUBLE) AS max_daily_loss, CAST(0.03 AS DOUBLE) AS max_drawdown, 3 AS max_open_positions FROM (
   SELECT account, CAST(timestamp AS DATE) AS day, sum(pnl) AS p, count(*) AS n FROM trades GROUP BY 1, 2) GROUP BY 1"""))
 def risk_metrics(spark, sf):
     return risk.risk_metrics(risk.daily_totals(t.trades(spark, sf)), L).select(
-        "account", "last_reset", "daily_pnl", "daily_trades", "max_daily_trades", "max_daily_loss",
+        "account", F.col("last_reset").cast("string").alias("last_reset"), "daily_pnl", "daily_trades", "max_daily_trades", "max_daily_loss",
         "max_drawdown", "max_open_positions")
 
 

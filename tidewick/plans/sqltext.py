@@ -207,7 +207,7 @@ MEMORY = f"""items AS (SELECT md5(conv_id || ':' || turn) AS id, CAST(conv_id AS
 AGENTS = """agents AS (SELECT agent_id,
     CASE CAST(agent_id AS BIGINT) % 4 WHEN 0 THEN 'default' WHEN 1 THEN 'conservative'
       WHEN 2 THEN 'aggressive' ELSE 'research' END AS agent_type,
-    min(timestamp) AS created_at, max(timestamp) AS last_active, sum(token_count) AS total_tokens_used,
+    min(timestamp) AS created_at, max(timestamp) AS last_active, CAST(sum(token_count) AS BIGINT) AS total_tokens_used,
     count(*) AS memory_count, avg(CASE WHEN importance > 0.5 THEN 1.0 ELSE 0.0 END) AS win_rate,
     CAST(sum(pnl) AS DOUBLE) AS total_pnl, avg(importance) AS avg_confidence,
     count(*) > 4 AS is_active FROM items GROUP BY 1)"""
