@@ -3,6 +3,9 @@
 A key (symbol, account) may own any share of the rows, so no window here is partitioned by the key
 alone. Rows are grouped into calendar buckets; the bucket table (one row per key and bucket) carries
 the running totals, and the detail rows are windowed per bucket or per block of buckets.
+
+Keys, order columns and buckets must not be NULL (drop or fill them first). ``bucket`` must not
+decrease along the order; choose it so that one key's rows of one bucket fit a task.
 """
 
 from __future__ import annotations
@@ -35,8 +38,7 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
                 bucket: Column, name: str = "pos") -> DataFrame:
     """0-based position of each row in its key's order.
 
-    ``bucket`` must not decrease along ``order``. Costs one small aggregation and one shuffle on
-    (keys, bucket).
+    Costs one small aggregation and one shuffle on (keys, bucket).
     """
     counts = _bucket_table(df, keys, bucket, [F.count(F.lit(1)).alias("_n")])
     counts = written(counts, "bucket-counts")

@@ -136,7 +136,7 @@ def dataset_metadata(spark, sf):
         "total_samples", "chunk_size", "compression")
 
 
-@query("conversion_report", "SELECT true AS smaller, true AS consistent")
+@query("conversion_report", "SELECT true AS smaller, true AS consistent, count(*) AS rows FROM orders")
 def conversion_report(spark, sf):
     """Trades as JSON against the same rows as Parquet chunks."""
     source, target = scratch_path(spark, "json"), scratch_path(spark, "chunks")
@@ -146,7 +146,8 @@ def conversion_report(spark, sf):
     return report.select(
         (F.col("output_bytes") < F.col("input_bytes")).alias("smaller"),
         (F.abs(F.col("reduction_pct") - (1 - F.col("output_bytes") / F.col("input_bytes")) * 100)
-         < 1e-9).alias("consistent"))
+         < 1e-9).alias("consistent"),
+        spark.read.parquet(target).agg(F.count(F.lit(1))).scalar().alias("rows"))
 
 
 @query("write_samples_json", S.hourly("SELECT symbol, count(*) AS n, count(*) FILTER (signal = 'BUY') AS buys FROM adv GROUP BY 1", S.ADVANCED))

@@ -44,10 +44,11 @@ def top_recent(spark, sf):
     return _recent(spark, sf).select(_COLS)
 
 
-@query("agent_filter", S.with_(*_M, select="SELECT id, agent_id, memory_type FROM items WHERE agent_id IN ('3', '14', '15')"))
+@query("agent_filter", S.with_(*_M, select="SELECT id, role AS agent_id, memory_type FROM items WHERE role IN ('assistant', 'system')"))
 def agent_filter(spark, sf):
-    return mem.agent_filter(t.memory_items(spark, sf), "3", "14", "15").select(
-        "id", "agent_id", "memory_type")
+    """The speaker's role as the agent."""
+    items = t.memory_items(spark, sf).withColumn("agent_id", F.col("tags")[0])
+    return mem.agent_filter(items, "assistant", "system").select("id", "agent_id", "memory_type")
 
 
 @query("token_usage", S.with_(*_M, select="SELECT agent_id, CAST(sum(token_count) AS BIGINT) AS total_tokens_used FROM items GROUP BY 1"))

@@ -22,12 +22,18 @@ BUFFER_BARS, HISTORY_BARS = 1000, 100
 
 def stream_source(spark: SparkSession, path: str, feed: str | StructType, *,
                   symbols: Sequence[str] | None = None, fmt: str = "parquet",
-                  files_per_trigger: int | None = None) -> DataFrame:
-    """A file feed of bars, quotes or trades for a symbol list (a Kafka source fits the same way)."""
+                  files_per_trigger: int | None = None,
+                  bytes_per_trigger: int = 1 << 30) -> DataFrame:
+    """A file feed of bars, quotes or trades for a symbol list (a Kafka source fits the same way).
+
+    The trigger limit bounds what a stateful step sees of one symbol at a time.
+    """
     schema = FEEDS[feed] if isinstance(feed, str) else feed
     reader = spark.readStream.format(fmt).schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     df = reader.load(path)
     return df.filter(F.col("symbol").isin(*symbols)) if symbols else df
 
