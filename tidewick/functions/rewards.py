@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewick.functions.numeric import ladder, total
 from tidewick.functions.text import extract_signal
@@ -181,8 +181,15 @@ def explode_steps(decisions: DataFrame, *parent: str) -> DataFrame:
 
 
 def step_accuracy(evaluated: DataFrame, decision: str = "decision_id") -> DataFrame:
-    """Mean correctness per step type, and average reward per decision over all steps."""
-    per_type = evaluated.groupBy("step_type").agg(
-        F.avg(F.col("correctness").cast("int")).alias("accuracy"))
-    overall = evaluated.agg(F.sum("reward") / F.count_distinct(decision))
-    return per_type.withColumn("average_reward", overall.scalar())
+    """Mean correctness per step type, and average reward per decision over all steps.
+
+    One rollup pass gives both; its total row is then spread over the few step types.
+    """
+    t = evaluated.rollup("step_type").agg(
+        F.avg(F.col("correctness").cast("int")).alias("accuracy"),
+        (F.sum("reward") / F.count_distinct(decision)).alias("_per_decision"),
+        F.grouping("step_type").alias("_total"))
+    overall = F.max(F.when(F.col("_total") == 1, F.col("_per_decision"))).over(
+        Window.partitionBy())
+    return (t.withColumn("average_reward", overall).filter(F.col("_total") == 0)
+            .select("step_type", "accuracy", "average_reward"))

@@ -186,13 +186,14 @@ _PRICE = ["open", "high", "low", "close", "volume", "change_1m", "change_24h"]
 
 
 @query("build_sample", S.hourly(f"""SELECT symbol, strftime(timestamp, '%Y-%m-%dT%H:%M:%S') AS timestamp,
-  {S.r6(*_PRICE, 'rsi', 'macd_signal', 'ema_200', 'market_cap')}, hammer, trend_long,
+  round(volume_price_trend, 1) AS volume_price_trend, {S.r6(*_PRICE, 'rsi', 'macd_signal', 'ema_200', 'market_cap')}, hammer, trend_long,
   fear_greed, trend, volume_regime, CASE WHEN bb_position > 0.8 THEN 'upper' WHEN bb_position < 0.2 THEN 'lower'
   ELSE 'middle' END AS bb_regime, signal, {S.r('confidence')}, reasoning FROM lab""", *_LAB))
 def build_sample(spark, sf):
-    nested = smp.build_sample(t.labelled(spark, sf))
+    nested = smp.build_sample(t.labelled(spark, sf, price_trend=True))
     return nested.select(
         "symbol", "timestamp", *[f"price_data.{x}" for x in _PRICE],
+        F.round("technical_indicators.volume_price_trend", 1).alias("volume_price_trend"),
         *[f"technical_indicators.{x}" for x in ("rsi", "macd_signal", "ema_200", "hammer",
                                                 "trend_long")],
         *[f"market_context.{x}" for x in ("market_cap", "fear_greed", "trend", "volume_regime")],

@@ -1,4 +1,4 @@
-"""Name -> (Spark query, reference SQL)."""
+"""Name -> (Spark query, SQL to compare with)."""
 
 from __future__ import annotations
 

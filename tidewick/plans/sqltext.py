@@ -1,4 +1,4 @@
-"""SQL building blocks for the reference queries (DuckDB dialect)."""
+"""SQL building blocks for the SQL each query is compared with (DuckDB dialect)."""
 
 from __future__ import annotations
 

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewick.functions import rules
 from tidewick.functions.text import token_count
-from tidewick.operators.indicators import full_panel, indicator_panel
+from tidewick.operators.indicators import indicator_panel
 from tidewick.operators.resample import resample
 from tidewick.operators.risk import RiskLimits
-from tidewick.operators.samples import label_samples, sample_every_n
+from tidewick.operators.samples import label_samples
 
 LIMITS = RiskLimits(symbols=("1-URGENT", "2-HIGH", "3-MEDIUM"), max_daily_trades=3,
                     max_daily_loss=200.0, max_open_positions=3, max_drawdown=0.03)
@@ -47,14 +47,11 @@ def panel(spark: SparkSession, sf: str, timeframe: str = "1Hour") -> DataFrame:
     return indicator_panel(candles(spark, sf, timeframe))
 
 
-def labelled(spark: SparkSession, sf: str, timeframe: str = "1Hour", variant: str = "advanced"
-             ) -> DataFrame:
-    return label_samples(full_panel(candles(spark, sf, timeframe)), variant)
-
-
-def samples(spark: SparkSession, sf: str, variant: str = "advanced") -> DataFrame:
-    """Labelled rows at the sampling positions of the minute bars."""
-    return label_samples(sample_every_n(full_panel(candles(spark, sf, "1Min"))), variant)
+def labelled(spark: SparkSession, sf: str, timeframe: str = "1Hour", variant: str = "advanced",
+             price_trend: bool = False) -> DataFrame:
+    """Labelled bars; the running price trend only where it is shown."""
+    rows = indicator_panel(candles(spark, sf, timeframe), price_trend=price_trend)
+    return label_samples(rows, variant)
 
 
 def candle_arrays(spark: SparkSession, sf: str) -> DataFrame:
