@@ -58,38 +58,35 @@ _CONTEXT_SCHEMA = ("symbol string, timestamp timestamp, close double, history in
 _STATE_SCHEMA = "times array<bigint>, closes array<double>"
 
 
-def _advance(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState, keep: int
-             ) -> Iterator[pd.DataFrame]:
-    """Per-bar momentum over the last ``keep`` closes.
+# The steps below are nested functions that use pandas only: they travel to the workers by value, so
+# the package need not be installed there.
+
+def stream_momentum(bars: DataFrame, keep: int = HISTORY_BARS) -> DataFrame:
+    """Momentum on every arriving bar over the last ``keep`` closes of its symbol.
 
     The micro-batch is merged in event-time order with the kept tail, which is all the state there is.
     """
-    times, closes = state.get if state.exists else ([], [])
-    new = pd.concat(list(batches)).sort_values("timestamp", kind="stable")
-    series = pd.Series([*closes, *new["close"]], dtype="float64")
-    older, recent = series.rolling(5).mean().shift(5), series.rolling(5).mean()
-    history = pd.Series(range(1, len(series) + 1)).clip(upper=keep)
-    out = pd.DataFrame({
-        "symbol": key[0], "timestamp": new["timestamp"].to_numpy(),
-        "close": new["close"].to_numpy(), "history": history.to_numpy()[len(closes):],
-        "recent_avg": recent.to_numpy()[len(closes):],
-        "older_avg": older.to_numpy()[len(closes):]})
-    ready = out["older_avg"].notna()
-    out["recent_avg"] = out["recent_avg"].where(ready)
-    verdict = pd.Series("none", index=out.index)
-    verdict[out["recent_avg"] > out["older_avg"] * 1.02] = "bullish"
-    verdict[out["recent_avg"] < out["older_avg"] * 0.98] = "bearish"
-    out["momentum"] = verdict.where(ready, None)
-    stamps = [*times, *(new["timestamp"].astype("datetime64[us]").astype("int64"))]
-    state.update((stamps[-keep:], series.tolist()[-keep:]))
-    yield out
-
-
-def stream_momentum(bars: DataFrame, keep: int = HISTORY_BARS) -> DataFrame:
-    """Momentum on every arriving bar with a bounded history per symbol."""
     def step(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState
              ) -> Iterator[pd.DataFrame]:
-        yield from _advance(key, batches, state, keep)
+        times, closes = state.get if state.exists else ([], [])
+        new = pd.concat(list(batches)).sort_values("timestamp", kind="stable")
+        have = len(closes)
+        series = pd.Series([*closes, *new["close"]], dtype="float64")
+        out = pd.DataFrame({
+            "close": series, "history": pd.Series(range(1, len(series) + 1)).clip(upper=keep),
+            "recent_avg": series.rolling(5).mean(),
+            "older_avg": series.rolling(5).mean().shift(5)}).iloc[have:]
+        ready = out["older_avg"].notna()
+        out["recent_avg"] = out["recent_avg"].where(ready)
+        verdict = pd.Series("none", index=out.index)
+        verdict[out["recent_avg"] > out["older_avg"] * 1.02] = "bullish"
+        verdict[out["recent_avg"] < out["older_avg"] * 0.98] = "bearish"
+        out["momentum"] = verdict.where(ready, None)
+        out.insert(0, "symbol", key[0])
+        out.insert(1, "timestamp", new["timestamp"].to_numpy())
+        stamps = [*times, *(new["timestamp"].astype("datetime64[us]").astype("int64"))]
+        state.update((stamps[-keep:], series.tolist()[-keep:]))
+        yield out
 
     return (bars.select("symbol", "timestamp", "close").groupBy("symbol")
             .applyInPandasWithState(step, _CONTEXT_SCHEMA, _STATE_SCHEMA, "append",
