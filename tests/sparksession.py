@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -11,6 +12,7 @@ def local_spark() -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("tidewick")
              .config("spark.sql.shuffle.partitions", "8")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidewick-"))
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders of single-process sessions (tests) that set no spark.checkpoint.dir, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on; cluster sizing is left to the caller."""
@@ -23,11 +27,12 @@ def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tidewick-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tidewick-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
