@@ -123,14 +123,18 @@ def anchors(block: Block, k: int, window: int) -> np.ndarray:
     return selected(grams, block.first, k, window)
 
 
-def selected(grams: np.ndarray, first: np.ndarray, k: int, window: int) -> np.ndarray:
-    """Positions whose gram is the least of some window; windows lie inside [first[i], first[i + 1])."""
+def selected(grams: np.ndarray, first: np.ndarray, k: int, window: int,
+             end: np.ndarray | None = None) -> np.ndarray:
+    """Positions whose gram is the least of some window; windows lie inside [first[i], first[i + 1]).
+
+    ``end`` gives other ends than first[i + 1].
+    """
     width, n = window - k + 1, len(grams)
     if n < width:
         return np.zeros(0, np.int64)
     least = sliding_min(grams, width)
     inside = np.zeros(len(least) + 1, np.int64)
-    for lo, hi in zip(first[:-1], first[1:]):
+    for lo, hi in zip(first[:-1], first[1:] if end is None else end):
         if hi - lo >= window:
             inside[lo] += 1
             inside[hi - window + 1] -= 1
@@ -156,3 +160,37 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text",
             if size >= limit or i == len(texts) - 1:
                 yield batch.slice(lo, i + 1 - lo), Block(texts[lo:i + 1])
                 lo, size = i + 1, 0
+
+
+def stretches(at: np.ndarray, values: np.ndarray, allowed: np.ndarray, width: int
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of allowed window starts that have the same owner.
+
+    A window owns the ``width`` positions from its start on; its owner is the position of ``at`` with the
+    least value among them, and of equal ones the leftmost. Returns (index into ``at``, first start,
+    last start) of each run, in order of place.
+    """
+    none = np.zeros(0, np.int64)
+    field = np.full(len(allowed) + width - 1, np.iinfo(np.uint64).max, np.uint64)
+    field[at] = values
+    if len(at) == 0 or len(field) < width:
+        return none, none, none
+    least = sliding_min(field, width)
+    starts = np.flatnonzero(allowed & (least != field.dtype.type(np.iinfo(np.uint64).max)))
+    if len(starts) == 0:
+        return none, none, none
+    distinct, rank = np.unique(values, return_inverse=True)
+    place = (rank.astype(np.int64) << 32) | at
+    order = np.argsort(place)
+    ask = (np.searchsorted(distinct, least[starts]).astype(np.int64) << 32) | starts
+    owner = order[np.searchsorted(place[order], ask)]
+    new = np.flatnonzero((owner[1:] != owner[:-1]) | (starts[1:] != starts[:-1] + 1)) + 1
+    first, last = np.append(0, new), np.append(new, len(starts)) - 1
+    return owner[first], starts[first], starts[last]
+
+
+def lists(batch: pa.RecordBatch, name: str) -> list[np.ndarray]:
+    """A list column as one array per row."""
+    column = batch.column(name)
+    values, cut = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(cut[:-1], cut[1:])]
