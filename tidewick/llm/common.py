@@ -25,9 +25,18 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(doc_id).cast("bigint"), F.col(text).isNull(), F.col(text))
 
 
+#: Drops the shuffle files of an execution when it ends; a written table has no need of them.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: cuts lineage, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

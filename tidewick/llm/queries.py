@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewick.llm import phrases
+from tidewick.llm import phrases, simhash, suffixes
 from tidewick.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,5 +18,17 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_substring_dedup,)}
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_copies(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every text without the 400-byte strings that are found more than once."""
+    return suffixes.repeated_bytes(documents(spark, sf_dir), depth=400).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_substring_dedup, op4_simhash_near_dedup, op6_suffix_array_dedup)}
 ORACLE: dict[str, str] = {}
