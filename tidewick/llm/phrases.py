@@ -1,16 +1,18 @@
-"""Removal of word runs that occurred before, by automata of the recurring runs.
+"""Removal of word runs that occurred before, by automata of the recurring passages.
 
 1. One pass over the texts selects shingles such that every run of ``window`` words has at least one,
    and which one depends on the run's words alone. Shingles are counted; a run can only recur if its
    selected shingle does.
-2. Runs around recurring shingles are counted by hash; those found twice or more are the recurring
-   passages, each with its first place.
-3. The passages are compiled into Aho-Corasick automata, sharded by selected shingle. Every stretch of
-   text around a recurring shingle is streamed through the automaton of its shard, which compares real
-   words. A located run that is not the first of its kind is removed.
-
-Nothing is kept per document but numbers, no group is collected, and a shingle that many documents
-share is spread over several tasks: its patterns are repeated in each and the stretches are divided.
+2. Around recurring shingles the texts are cut into stretches: the words of all runs that have the same
+   selected shingle. Equal stretches are counted and become one passage with its first place; a passage
+   is confirmed if it was found twice or shares its shingle with another one.
+3. The runs of the confirmed passages are compiled into Aho-Corasick automata, sharded by shingle, each
+   with the first place of the run. All passages are streamed through the automaton of their shard,
+   which compares real words and locates every occurrence. A located run that is not the first of its
+   kind is removed; in a text that repeats a whole passage all its runs are.
+
+Nothing is kept per document but numbers and no group is collected. A shingle that very many passages
+share is spread over several tasks: its patterns are repeated in each and the passages are divided.
 """
 
 from __future__ import annotations
@@ -24,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidewick.llm.common import kept, order_key, row_key
-from tidewick.llm.textblock import Block, anchors, blocks, signed
+from tidewick.llm.textblock import Block, anchors, blocks, lists, signed, stretches
 
 SHINGLE = 6
-#: Stretches of one shingle that a task takes before the shingle is spread over more tasks.
-STRETCHES_PER_TASK = 4096
+#: Passages of one shingle that a task takes before the shingle is spread over more tasks.
+PASSAGES_PER_TASK = 4096
 #: Shingles that share an automaton; small automata stay in the processor's cache.
 SHINGLES_PER_AUTOMATON = 64
 
@@ -57,100 +59,58 @@ def _scan(window: int):
     return run
 
 
-def _lists(batch: pa.RecordBatch, name: str) -> list[np.ndarray]:
-    column = batch.column(name)
-    values, cut = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-    return [values[a:b] for a, b in zip(cut[:-1], cut[1:])]
-
-
-def _windows(window: int):
-    """One row for every window around a recurring shingle: its hash and place."""
+def _stretches(window: int):
+    """Per text with recurring shingles: its stretches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, block in blocks(batches):
             block.split()
-            hashes = block.shingles(block.word_hashes(), window)
-            doc_id = batch.column("_id").to_numpy()
-            places = _lists(batch, "at")
-            ends = np.zeros(len(hashes) + 1, np.int64)
-            for i in range(len(block)):
-                n, base = int(block.n_words[i]), int(block.first[i])
-                if n < window:
-                    continue
-                at = places[i][places[i] + SHINGLE <= n]
-                np.add.at(ends, base + np.maximum(0, at + SHINGLE - window), 1)
-                np.add.at(ends, base + np.minimum(at, n - window) + 1, -1)
-            starts = np.flatnonzero(np.cumsum(ends)[:-1] > 0)
-            doc = block.doc[starts]
+            grams = block.shingles(block.word_hashes(), SHINGLE)
+            at = np.concatenate([p + b for p, b in zip(lists(batch, "at"), block.first)] or [np.zeros(0, np.int64)])
+            at = np.sort(at).astype(np.int64)
+            at = at[at < len(grams)]
+            owner, lo, hi = stretches(at, grams[at], _starts(block, window), window - SHINGLE + 1)
+            doc = block.doc[lo]
+            back = block.byte_hashes(block.start[lo], block.end[hi + window - 1])
             yield pa.record_batch({
-                "_hash": pa.array(signed(hashes[starts])), "_id": pa.array(doc_id[doc]),
-                "start": pa.array((starts - block.first[doc]).astype(np.int32))})
+                "_key": batch.column("_key").take(pa.array(doc)), "_id": batch.column("_id").take(pa.array(doc)),
+                "gram": pa.array(signed(grams[at[owner]])), "passage": pa.array(signed(back)),
+                "lo": pa.array((lo - block.first[doc]).astype(np.int32)),
+                "hi": pa.array((hi - block.first[doc]).astype(np.int32))})
     return run
 
 
-def _routed(window: int):
-    """Rows for the automata: patterns (kind 0) and stretches of text to stream (kind 1).
+def _starts(block: Block, window: int) -> np.ndarray:
+    """Where a run of ``window`` words starts."""
+    edge = np.zeros(len(block.start) + 1, np.int64)
+    real = block.n_words >= window
+    edge[block.first[:-1][real]] += 1
+    edge[block.first[1:][real] - window + 1] -= 1
+    return np.cumsum(edge)[:-1] > 0
 
-    A window belongs to its leftmost recurring shingle with the smallest number, so that equal windows
-    meet in one shard.
-    """
+
+def _passages(window: int):
+    """The words of the confirmed passages: a pattern (kind 0) for each task of the shard, and a row to stream."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, block in blocks(batches):
             block.split()
-            keys, ids = batch.column("_key").to_numpy(), batch.column("_id").to_numpy()
-            lists = [_lists(batch, c) for c in ("at", "grams", "spread", "found")]
+            keys, ids = batch.column("_key").to_pylist(), batch.column("_id").to_pylist()
             out: list[list] = [[] for _ in range(8)]
-            for i in range(len(block)):
-                n = int(block.n_words[i])
-                if n < window:
-                    continue
+            for i, passages in enumerate(batch.column("passages").to_pylist()):
                 data, edge = block.joined(i)
-                at, grams, spread, first = (column[i] for column in lists)
-                first = np.sort(first)
-                real = at + SHINGLE <= n
-                at, grams, spread = at[real].tolist(), grams[real].tolist(), spread[real].tolist()
-                for (lo, hi), gram, parts in zip(_owned(at, grams, n, window), grams, spread):
-                    if hi < lo:
-                        continue
-                    text = data[edge[lo]:edge[hi + window] - 1]
-                    mine = first[np.searchsorted(first, lo):np.searchsorted(first, hi, "right")]
-                    rows = [(p, 0, (mine - lo).tolist()) for p in range(parts)] if len(mine) else []
-                    rows.append((int(keys[i]) % parts, 1, None))
-                    for part, kind, pattern in rows:
-                        for values, value in zip(out, (gram, part, kind, text, ids[i], lo, keys[i], pattern)):
-                            values.append(value)
+                edge = edge.tolist()
+                for p in passages:
+                    lo, hi, parts = p["lo"], p["hi"], p["parts"]
+                    text, mine = data[edge[lo]:edge[hi + window] - 1], (keys[i] + lo) % parts
+                    for part, kind in [(x, 0) for x in range(parts)] + [(mine, 1)]:
+                        for column, value in zip(out, (p["gram"], part, kind, text, keys[i], ids[i], lo)):
+                            column.append(value)
             yield pa.record_batch(
                 [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(),
-                                                      pa.int32(), pa.int64(), pa.list_(pa.int32())))],
-                ["gram", "part", "kind", "words", "_id", "start", "_key", "found"])
+                                                      pa.int64(), pa.int32()))],
+                ["gram", "part", "kind", "words", "_key", "_id", "lo"])
     return run
 
 
-def _owned(at: list[int], grams: list[int], n: int, window: int) -> list[tuple[int, int]]:
-    """For each recurring shingle, the range of window starts whose least recurring shingle it is.
-
-    ``grams`` are compared as unsigned numbers, as in the selection; the least selected shingle of a
-    window is the least of all its shingles, and of equal ones the leftmost owns the window.
-    """
-    value = [g & 0xFFFFFFFFFFFFFFFF for g in grams]
-    m, out = len(at), []
-    for j in range(m):
-        lo, hi = max(0, at[j] + SHINGLE - window), min(at[j], n - window)
-        i = j - 1
-        while i >= 0 and at[i] >= lo:  # an earlier one that is not larger owns the windows that hold both
-            if value[i] <= value[j]:
-                lo = at[i] + 1
-                break
-            i -= 1
-        i = j + 1
-        while i < m and at[i] + SHINGLE - window <= hi:
-            if value[i] < value[j]:
-                hi = at[i] + SHINGLE - window - 1
-                break
-            i += 1
-        out.append((lo, hi))
-    return out
-
-
 class _Shard:
     """The automaton of one shard; words are single characters in it."""
 
@@ -158,19 +118,19 @@ class _Shard:
         self.letters: dict[bytes, str] = {}
         self.automaton, self.window, self.ready = ahocorasick.Automaton(), window, False
 
-    def add(self, words: bytes, offsets: list[int], doc: int, start: int) -> None:
-        letters = self.letters
+    def add(self, words: bytes, doc: int, start: int) -> None:
+        letters, automaton = self.letters, self.automaton
         text = "".join([letters.setdefault(w, chr(0x10000 + len(letters))) for w in words.split(b" ")])
-        for o in offsets:
-            self.automaton.add_word(text[o:o + self.window], (doc, start + o))
+        for o in range(len(text) - self.window + 1):
+            run, place = text[o:o + self.window], (doc, start + o)
+            if place < automaton.get(run, (place[0] + 1,)):
+                automaton.add_word(run, place)
 
     def repeats(self, words: bytes, doc: int, start: int) -> list[int]:
-        """Starts of the located windows that occurred before."""
+        """Starts of the located runs that occurred before."""
         if not self.ready:
             self.automaton.make_automaton()
             self.ready = True
-        if not len(self.automaton):
-            return []
         get = self.letters.get
         text = "".join([get(w, "\0") for w in words.split(b" ")])
         shift = start - self.window + 1
@@ -183,13 +143,12 @@ def _located(window: int):
         now, shard = None, None
         for batch in batches:
             keys, los, his = [], [], []
-            cols = [batch.column(c).to_pylist() for c in ("shard", "part", "kind", "words", "_id", "start", "_key",
-                                                          "found")]
-            for number, part, kind, words, doc, start, key, found in zip(*cols):
+            cols = [batch.column(c).to_pylist() for c in ("shard", "part", "kind", "words", "_key", "_id", "lo")]
+            for number, part, kind, words, key, doc, start in zip(*cols):
                 if now != (number, part):
                     now, shard = (number, part), _Shard(window)
                 if kind == 0:
-                    shard.add(words, found, doc, start)
+                    shard.add(words, doc, start)
                     continue
                 end = -1
                 for s in shard.repeats(words, doc, start):
@@ -204,22 +163,20 @@ def _located(window: int):
     return run
 
 
-def _cut():
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The texts without the removed words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shas, gone = [], []
-            for text, runs in zip(batch.column("text").cast(pa.binary()).to_pylist(),
-                                  batch.column("runs").to_pylist()):
-                words = text.split()
-                keep = np.ones(len(words), bool)
-                for r in runs:
-                    keep[r["lo"]:r["hi"]] = False
-                gone.append(len(words) - int(keep.sum()))
-                shas.append(b" ".join([w for w, k in zip(words, keep.tolist()) if k]).decode())
-            yield pa.record_batch([batch.column("_key"), pa.array(gone, pa.int64()), pa.array(shas)],
-                                  ["_key", "n_removed", "kept_text"])
-    return run
+    for batch in batches:
+        left, gone = [], []
+        for text, runs in zip(batch.column("text").cast(pa.binary()).to_pylist(),
+                              batch.column("runs").to_pylist()):
+            words = text.split()
+            keep = np.ones(len(words), bool)
+            for r in runs:
+                keep[r["lo"]:r["hi"]] = False
+            gone.append(len(words) - int(keep.sum()))
+            left.append(b" ".join([w for w, k in zip(words, keep.tolist()) if k]).decode())
+        yield pa.record_batch([batch.column("_key"), pa.array(gone, pa.int64()), pa.array(left)],
+                              ["_key", "n_removed", "kept_text"])
 
 
 def repeated_phrases(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -242,34 +199,34 @@ def repeated_phrases(docs: DataFrame, window: int = 20) -> DataFrame:
     scan = kept(rows.mapInArrow(_scan(window), schema), "phrase-scan")
 
     gram = F.explode("grams").alias("gram")
-    counts = scan.select(gram).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    places = scan.select("_id", F.explode(F.arrays_zip("grams", "at")).alias("p")).select(
-        "_id", F.col("p.grams").alias("gram"), F.col("p.at").alias("at"))
-    spread = F.expr(f"int(1 + n div {STRETCHES_PER_TASK})")
-    recurring = places.join(counts, "gram").select("_id", F.struct("at", "gram", spread.alias("spread")).alias("p"))
-    by_doc = recurring.groupBy("_id").agg(F.array_sort(F.collect_set("p")).alias("p")).select(
-        "_id", F.col("p.at").alias("at"), F.col("p.gram").alias("grams"), F.col("p.spread").alias("spread"))
-    routed = kept(texts.join(by_doc, "_id"), "phrase-texts")
-
-    place = F.struct("_id", "start")
-    passages = (routed.select("_id", "_key", "text", "at").mapInArrow(_windows(window), "_hash long, _id long, start int")
-                .groupBy("_hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    first = passages.groupBy(F.col("first._id").alias("_id")).agg(F.collect_list("first.start").alias("found"))
-    rows_in = (routed.join(first, "_id", "left")
-               .withColumn("found", F.coalesce("found", F.array().cast("array<int>"))).mapInArrow(
-        _routed(window), "gram long, part int, kind int, words binary, _id long, start int, _key long, "
-                         "found array<int>"))
-    shards = F.lit(_shard_count(counts))
-    rows_in = rows_in.withColumn("shard", F.pmod(F.xxhash64("gram"), shards)).drop("gram")
+    counts = scan.select(gram).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    places = scan.select("_key", F.explode(F.arrays_zip("grams", "at")).alias("p")).select(
+        "_key", F.col("p.grams").alias("gram"), F.col("p.at").alias("at"))
+    by_text = places.join(counts, "gram").groupBy("_key").agg(F.collect_set("at").alias("at"))
+    routed = kept(texts.join(by_text, "_key"), "phrase-texts")
+
+    found = kept(routed.mapInArrow(_stretches(window), "_key long, _id long, gram long, passage long, lo int, hi int"),
+                 "phrase-stretches")
+    passages = kept(found.groupBy("gram", "passage").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("_id", "lo", "_key", "hi")).alias("first")), "phrase-passages")
+    shared = passages.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n")).filter(
+        "m > 1 OR n > 1").select("gram", F.expr(f"int(1 + m div {PASSAGES_PER_TASK})").alias("parts"))
+    confirmed = passages.join(shared, "gram")
+    place = F.struct("first.lo", "first.hi", "gram", "parts")
+    to_shards = routed.dropDuplicates(["_key"]).select("_key", "_id", "text").join(
+        confirmed.groupBy(F.col("first._key").alias("_key")).agg(F.collect_list(place).alias("passages")), "_key")
+    shards = F.lit(1 + shared.count() // SHINGLES_PER_AUTOMATON)
+    rows_in = to_shards.mapInArrow(_passages(window), "gram long, part int, kind int, words binary, _key long, "
+                                                      "_id long, lo int").withColumn(
+        "shard", F.pmod(F.xxhash64("gram"), shards)).drop("gram")
     located = (rows_in.repartition("shard", "part").sortWithinPartitions("shard", "part", "kind")
                .mapInArrow(_located(window), "_key long, lo int, hi int"))
-    runs = located.groupBy("_key").agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
+    again = found.join(passages.filter("n > 1").select("gram", "passage", F.col("first._id").alias("_first"),
+                                                       F.col("first.lo").alias("_at")), ["gram", "passage"])
+    again = again.filter("_id != _first OR lo != _at").select("_key", "lo", (F.col("hi") + window).alias("hi"))
+    runs = located.union(again).groupBy("_key").agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
     cut = (routed.dropDuplicates(["_key"]).select("_key", "text").join(runs, "_key")
-           .mapInArrow(_cut(), "_key long, n_removed long, kept_text string"))
+           .mapInArrow(_cut, "_key long, n_removed long, kept_text string"))
     out = scan.select("doc_id", "_key", "n_words", "sha").join(cut, "_key", "left")
     return out.select("doc_id", "_key", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
                       F.coalesce(F.sha2("kept_text", 256), "sha").alias("kept_sha256"), "kept_text")
-
-
-def _shard_count(counts: DataFrame) -> int:
-    return 1 + counts.count() // SHINGLES_PER_AUTOMATON

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewick.llm import phrases, simhash, suffixes
+from tidewick.llm import classifier, packing, phrases, secrets, simhash, suffixes
 from tidewick.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,33 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.scan(documents(spark, sf_dir)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels that are not held out."""
+    docs = documents(spark, sf_dir)
+    model = classifier.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return classifier.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", classifier.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4096 tokens."""
+    return packing.packed_sequences(documents(spark, sf_dir), tokenizer_path())
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_substring_dedup, op4_simhash_near_dedup, op6_suffix_array_dedup)}
+    op1_substring_dedup, op4_simhash_near_dedup, op6_suffix_array_dedup, op7_secret_scan,
+    op8_quality_classifier, op10_best_fit_packing)}
 ORACLE: dict[str, str] = {}
