@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 from tidewick.llm.textblock import Block, blocks, mixed
@@ -153,7 +153,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     fields = [f for f in docs.schema.fields if f.name != "score"]
     docs = docs.select(*[F.col(f"`{f.name}`") for f in fields])
-    schema = docs.schema.add("score", "double")
+    schema = T.StructType([*fields, T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, block in blocks(batches):
