@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewick.llm import classifier, packing, phrases, secrets, simhash, suffixes
+from tidewick.llm import classifier, licenses, oracle, packing, phrases, secrets, sharding, simhash, suffixes
 from tidewick.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards 0 to 39 of equal row counts."""
+    return sharding.shards(documents(spark, sf_dir), count=40).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every text without the 400-byte strings that are found more than once."""
     return suffixes.repeated_bytes(documents(spark, sf_dir), depth=400).select(
@@ -44,6 +50,23 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document.
+
+    Documents have no paths: a document lies in source/lang/<doc_id div 100>, one with licence lines
+    speaks for that directory, or for source/lang if its doc_id is divisible by 3.
+    """
+    docs = documents(spark, sf_dir)
+    speaks = F.col("text").rlike(licenses.LINE)
+    top = F.concat_ws("/", "source", "lang")
+    block = F.concat_ws("/", top, F.expr("doc_id div 100"))
+    path = F.concat_ws("/", F.when(speaks & (F.col("doc_id") % 3 == 0), top).otherwise(block),
+                       F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = docs.select(F.col("doc_id").alias("file"), path.alias("path"), "text", speaks.alias("speaks"))
+    return licenses.scan(files, licenses.templates(spark)).select(
+        F.col("file").alias("doc_id"), "path", "licence", F.round("cosine", 6).alias("cosine"), "inherited_from", "origin")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 tokens."""
     return packing.packed_sequences(documents(spark, sf_dir), tokenizer_path())
@@ -56,6 +79,6 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_substring_dedup, op4_simhash_near_dedup, op6_suffix_array_dedup, op7_secret_scan,
-    op8_quality_classifier, op10_best_fit_packing)}
-ORACLE: dict[str, str] = {}
+    op1_substring_dedup, op4_simhash_near_dedup, op5_feistel_sharding, op6_suffix_array_dedup,
+    op7_secret_scan, op8_quality_classifier, op9_license_scan, op10_best_fit_packing)}
+ORACLE: dict[str, str] = {"op9_license_scan": oracle.license_scan()}
