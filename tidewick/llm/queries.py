@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewick.llm import classifier, licenses, oracle, packing, phrases, rules, secrets, sharding, simhash, suffixes
+from tidewick.llm import (classifier, decontamination, licenses, oracle, packing, phrases, rules, secrets, sharding,
+                          simhash, suffixes)
 from tidewick.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that nearly hold items of the benchmark."""
+    return decontamination.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(
+        "doc_id", "item_id", "edits", F.round("similarity", 6).alias("similarity"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and verdict of every document."""
     return rules.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).select(
@@ -85,6 +92,6 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_substring_dedup, op3_quality_rules, op4_simhash_near_dedup, op5_feistel_sharding, op6_suffix_array_dedup,
+    op1_substring_dedup, op2_benchmark_decontamination, op3_quality_rules, op4_simhash_near_dedup, op5_feistel_sharding, op6_suffix_array_dedup,
     op7_secret_scan, op8_quality_classifier, op9_license_scan, op10_best_fit_packing)}
 ORACLE: dict[str, str] = {"op9_license_scan": oracle.license_scan()}

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewick.llm.common import kept, order_key
+from tidewick.llm.common import NO_ID, kept, order_key, row_key
 from tidewick.llm.components import components
 from tidewick.llm.textblock import blocks
 
@@ -60,8 +60,8 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             lo = edge[:max(1, n - SHINGLE + 1)].tolist()
             hi = (edge[min(n, SHINGLE):] - 1).tolist()
             out[i] = fingerprint(np.array([digest(data[a:b], SEED) for a, b in zip(lo, hi)], np.uint64))
-        yield pa.record_batch([batch.column("doc_id"), batch.column("_id"), pa.array(out.view(np.int64))],
-                              ["doc_id", "_id", "print"])
+        yield pa.record_batch([*[batch.column(c) for c in ("doc_id", "_id", "_key")], pa.array(out.view(np.int64))],
+                              ["doc_id", "_id", "_key", "print"])
 
 
 def _near(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -163,17 +163,17 @@ def links(prints: DataFrame) -> DataFrame:
 def near_copies(docs: DataFrame) -> DataFrame:
     """Documents with fingerprint and the component of documents linked through near fingerprints.
 
-    Returns doc_id, _id, print (the fingerprint as a signed number), fingerprint (16 hex digits),
-    class_id (least doc_id with this fingerprint) and component_id (least doc_id that can be reached,
-    the own one included), one row per input row.
+    Returns doc_id, _id, _key (order and row keys), print (the fingerprint as a signed number), fingerprint
+    (16 hex digits), class_id (least doc_id with this fingerprint), _component (least _id that can be
+    reached) and component_id (the doc_id that is), one row per input row.
 
     Texts are lower-cased in A-Z and cut into words; shingles of 4 words are hashed with XXH64, seed 42.
     A text of fewer words is one shingle; a text without words, a null text too, has fingerprint zero.
     Rows without a doc_id take part; a component of such rows alone has component_id null. Repeated rows
     are linked like any others; an empty table gives no rows; other columns are ignored.
     """
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _id long, print long"
-    rows = kept(docs.select("doc_id", order_key().alias("_id"), "text").mapInArrow(_fingerprints, schema),
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _id long, _key long, print long"
+    rows = kept(docs.select("doc_id", order_key().alias("_id"), row_key().alias("_key"), "text").mapInArrow(_fingerprints, schema),
                 "fingerprints")
     classes = kept(rows.groupBy("print").agg(F.min("_id").alias("class"), F.min("doc_id").alias("class_id")),
                    "fingerprint-classes")
@@ -182,8 +182,15 @@ def near_copies(docs: DataFrame) -> DataFrame:
         classes.select(F.col("print").alias("b"), F.col("class").alias("y")), "b").select("x", "y")
     groups = components(found, ("x", "y"))
     ids = classes.join(groups, classes["class"] == groups["node"], "left").select(
-        "print", "class_id", F.coalesce("component", "class").alias("component_id"))
-    out = rows.join(ids, "print")
-    plain = F.when(F.col("component_id") < (1 << 62), F.col("component_id"))
-    return out.select("doc_id", "_id", "print", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
-                      "class_id", plain.alias("component_id"))
+        "print", "class_id", F.coalesce("component", "class").alias("_component"))
+    plain = F.when(F.col("_component") < NO_ID, F.col("_component"))
+    return rows.join(ids, "print").select(
+        "doc_id", "_id", "_key", "print", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "class_id",
+        "_component", plain.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of every component: the one with the least doc_id; all columns stay."""
+    first = near_copies(docs).groupBy("_component").agg(F.min(F.struct("_id", "_key")).alias("first"))
+    return docs.withColumn("_key", row_key()).join(first.select("first._key"), "_key", "left_semi").dropDuplicates(
+        ["_key"]).select(*docs.columns)
