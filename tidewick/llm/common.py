@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewick.session import scratch_path
@@ -29,14 +33,31 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back: cuts lineage, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+@contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(_CLEANUP, before)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back: cuts lineage, and a lost executor loses nothing."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with _cleaned(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def kept_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As ``kept``, in buckets of ``key``: later joins on it move the other side only."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = re.sub("[^0-9a-z]", "_", path.rsplit("/", 1)[-1].lower())
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with _cleaned(spark):
+        df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)

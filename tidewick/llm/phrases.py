@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewick.llm.common import kept, order_key, row_key
+from tidewick.llm.common import kept, kept_by, order_key, row_key
 from tidewick.llm.textblock import Block, anchors, blocks, lists, signed, stretches
 
 SHINGLE = 6
@@ -203,7 +203,7 @@ def repeated_phrases(docs: DataFrame, window: int = 20) -> DataFrame:
     places = scan.select("_key", F.explode(F.arrays_zip("grams", "at")).alias("p")).select(
         "_key", F.col("p.grams").alias("gram"), F.col("p.at").alias("at"))
     by_text = places.join(counts, "gram").groupBy("_key").agg(F.collect_set("at").alias("at"))
-    routed = kept(texts.join(by_text, "_key"), "phrase-texts")
+    routed = kept_by(texts.join(by_text, "_key").dropDuplicates(["_key"]), "phrase-texts", "_key")
 
     found = kept(routed.mapInArrow(_stretches(window), "_key long, _id long, gram long, passage long, lo int, hi int"),
                  "phrase-stretches")
@@ -213,19 +213,19 @@ def repeated_phrases(docs: DataFrame, window: int = 20) -> DataFrame:
         "m > 1 OR n > 1").select("gram", F.expr(f"int(1 + m div {PASSAGES_PER_TASK})").alias("parts"))
     confirmed = passages.join(shared, "gram")
     place = F.struct("first.lo", "first.hi", "gram", "parts")
-    to_shards = routed.dropDuplicates(["_key"]).select("_key", "_id", "text").join(
+    to_shards = routed.select("_key", "_id", "text").join(
         confirmed.groupBy(F.col("first._key").alias("_key")).agg(F.collect_list(place).alias("passages")), "_key")
     shards = F.lit(1 + shared.count() // SHINGLES_PER_AUTOMATON)
     rows_in = to_shards.mapInArrow(_passages(window), "gram long, part int, kind int, words binary, _key long, "
                                                       "_id long, lo int").withColumn(
         "shard", F.pmod(F.xxhash64("gram"), shards)).drop("gram")
-    located = (rows_in.repartition("shard", "part").sortWithinPartitions("shard", "part", "kind")
-               .mapInArrow(_located(window), "_key long, lo int, hi int"))
+    located = kept(rows_in.repartition("shard", "part").sortWithinPartitions("shard", "part", "kind")
+                   .mapInArrow(_located(window), "_key long, lo int, hi int"), "phrase-located")
     again = found.join(passages.filter("n > 1").select("gram", "passage", F.col("first._id").alias("_first"),
                                                        F.col("first.lo").alias("_at")), ["gram", "passage"])
     again = again.filter("_id != _first OR lo != _at").select("_key", "lo", (F.col("hi") + window).alias("hi"))
     runs = located.union(again).groupBy("_key").agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
-    cut = (routed.dropDuplicates(["_key"]).select("_key", "text").join(runs, "_key")
+    cut = (routed.select("_key", "text").join(runs, "_key")
            .mapInArrow(_cut, "_key long, n_removed long, kept_text string"))
     out = scan.select("doc_id", "_key", "n_words", "sha").join(cut, "_key", "left")
     return out.select("doc_id", "_key", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
