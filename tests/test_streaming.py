@@ -3,8 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidewick import schemas
-from tidewick.operators.live import momentum_5v5
 from tidewick.operators.resample import resample
 from tidewick.plans import tables as t
 from tidewick.streaming import jobs
@@ -14,36 +12,58 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def bar_files(spark, tmp_path_factory):
-    """Hourly bars as three files in time order."""
+    """Hourly bars as four files that each mix all times."""
     path = str(tmp_path_factory.mktemp("bars"))
-    bars = t.bars(spark, SF).cache()
-    for lo, hi in (("01", "10"), ("10", "20"), ("20", "32")):
-        upper = "2024-02-01" if hi == "32" else f"2024-01-{hi}"
-        part = bars.filter(f"timestamp >= '2024-01-{lo}' AND timestamp < '{upper}'")
-        part.coalesce(1).write.mode("append").parquet(path)
+    bars = t.bars(spark, SF)
+    bars.repartition(4, F.xxhash64("symbol", "timestamp")).write.parquet(path)
     return path
 
 
-def _key(rows):
-    return sorted((r.symbol, r.timestamp, r.momentum) for r in rows)
+def _rows(df):
+    return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=repr)
 
 
-def test_momentum_over_batches_equals_batch(spark, bar_files, tmp_path):
-    stream = jobs.stream_source(spark, bar_files, "bar", files_per_trigger=1)
-    out = str(tmp_path / "out")
-    jobs.run_available(jobs.stream_momentum(stream), out, str(tmp_path / "cp"))
-    got = spark.read.parquet(out)
-    want = momentum_5v5(spark.read.parquet(bar_files))
-    assert _key(got.collect()) == _key(want.collect())
+def _run(spark, path, step, tmp_path, **limits):
+    stream = jobs.stream_source(spark, path, "bar", **limits)
+    return jobs.run_ranges(stream, step(str(tmp_path / "out"), "40 days"), str(tmp_path / "cp"))
 
 
-def test_buffer_is_capped(spark, bar_files, tmp_path):
-    stream = jobs.stream_source(spark, bar_files, "bar", files_per_trigger=1)
-    out = str(tmp_path / "out")
-    jobs.run_available(jobs.stream_last_n(stream, keep=30), out, str(tmp_path / "cp"))
-    got = spark.read.parquet(out)
-    assert got.count() == spark.read.parquet(bar_files).count()
-    assert got.agg(F.max("bars")).first()[0] == 30
+def _rounded(df):
+    return df.select(*[F.round(c, 9).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
+
+
+@pytest.mark.parametrize("step,batch", [(jobs.stream_momentum, jobs.momentum_of), (jobs.stream_last_n, jobs.last_n_of)])
+def test_any_split_gives_the_batch_answer(spark, bar_files, tmp_path, step, batch):
+    want = _rows(_rounded(batch(spark.read.parquet(bar_files))))
+    for limits in ({"files_per_trigger": 1}, {"files_per_trigger": 3}):
+        got = _run(spark, bar_files, step, tmp_path / str(limits["files_per_trigger"]), **limits)
+        assert _rows(_rounded(got)) == want
+
+
+def test_ranges_in_time_order_close_early(spark, tmp_path):
+    """Files in time order and a short delay: ranges close on the way, late bars are put aside."""
+    path, bars = str(tmp_path / "bars"), t.bars(spark, SF).cache()
+    cuts = ["2024-01-01", "2024-01-10", "2024-01-20", "2024-02-10"]
+    for lo, hi in zip(cuts, cuts[1:]):
+        bars.filter(f"timestamp >= '{lo}' AND timestamp < '{hi}'").coalesce(1).write.mode("append").parquet(path)
+    bars.filter("timestamp < '2024-01-02'").coalesce(1).write.mode("append").parquet(path)  # once more, too late
+    stream = jobs.stream_source(spark, path, "bar", files_per_trigger=1)
+    step = jobs.stream_momentum(str(tmp_path / "out"), "1 day", keep=20)
+    jobs.run_batches(stream, step, str(tmp_path / "cp"))
+    assert 0 < step.results(spark).count() < bars.count()
+    step.finish(spark, stream.schema)
+    assert _rows(_rounded(step.results(spark))) == _rows(_rounded(jobs.momentum_of(bars, 20)))
+    late = spark.read.parquet(str(tmp_path / "out/late"))
+    assert late.count() == bars.filter("timestamp < '2024-01-02'").count()
+
+
+def test_verdicts_equal_the_whole_series(spark, bar_files, tmp_path):
+    limits = jobs.RiskLimits(symbols=("click",))
+    step = lambda root, delay: jobs.decide_step(root, limits, delay)
+    got = _run(spark, bar_files, step, tmp_path, files_per_trigger=1)
+    want = jobs.decide(spark.read.parquet(bar_files), limits)
+    assert _rows(_rounded(got)) == _rows(_rounded(want))
+    assert got.filter("is_valid AND symbol <> 'click'").count() == 0
 
 
 def test_closed_windows_equal_batch(spark, tmp_path):
@@ -58,15 +78,3 @@ def test_closed_windows_equal_batch(spark, tmp_path):
     assert got and set(got) <= set(want) and len(got) >= len(want) - 10
     assert all((g.open, g.close, g.volume) == (want[k].open, want[k].close, want[k].volume)
                for k, g in got.items())
-
-
-def test_verdicts_do_not_repeat_after_restart(spark, bar_files, tmp_path):
-    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
-    limits = jobs.RiskLimits(symbols=("click",))
-    history = lambda: spark.read.schema(schemas.BARS).parquet(bar_files)
-    for _ in range(2):
-        stream = jobs.stream_source(spark, bar_files, "bar")
-        jobs.run_batches(stream, jobs.decide_step(history, limits, out), cp)
-    got = spark.read.parquet(out)
-    assert got.count() == history().count()
-    assert got.filter("is_valid AND symbol <> 'click'").count() == 0

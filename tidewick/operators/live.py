@@ -8,6 +8,7 @@ from tidewick.functions.numeric import ladder, ratio, round_to
 from tidewick.operators.series import block_window, blocked, day_of
 
 CONTEXT_BARS = 20
+CONTEXT_FIELDS = ("sma_5", "sma_20", "price_change", "price_change_pct", "volume_ratio", "volatility", "trend")
 
 
 def _fold(values: Column) -> Column:
@@ -69,14 +70,14 @@ def momentum_verdict(recent: Column, older: Column) -> Column:
     return ladder([(recent > older * 1.02, "bullish"), (recent < older * 0.98, "bearish")], "none")
 
 
-def momentum_5v5(bars: DataFrame) -> DataFrame:
-    """Mean of the last five closes against the five before; NULL below ten bars."""
+def momentum_5v5(bars: DataFrame, *more: Column) -> DataFrame:
+    """Mean of the last five closes against the five before; NULL below ten bars. ``more`` columns can use ``pos``."""
     df = blocked(bars, ["symbol"], ["timestamp"], bucket=day_of("timestamp"), halo=10)
     w = block_window(["symbol"])
     df = df.withColumns({"recent_avg": F.avg("close").over(w.rowsBetween(-4, 0)),
                          "older_avg": F.avg("close").over(w.rowsBetween(-9, -5))}).filter("_own")
     ready = F.col("pos") >= 9
-    return df.select("symbol", "timestamp", *[F.when(ready, F.col(x)).alias(x)
-                                              for x in ("recent_avg", "older_avg")],
+    return df.select("symbol", "timestamp", *more, *[F.when(ready, F.col(x)).alias(x)
+                                                     for x in ("recent_avg", "older_avg")],
                      F.when(ready, momentum_verdict(F.col("recent_avg"), F.col("older_avg")))
                      .alias("momentum"))

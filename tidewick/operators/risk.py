@@ -41,12 +41,16 @@ def held_positions(positions: DataFrame) -> DataFrame:
 
 
 def with_open_positions(signals: DataFrame, positions: DataFrame) -> DataFrame:
-    """Adds ``open_positions`` of the account and ``already_held`` for the signal's symbol."""
-    held = held_positions(positions)
-    per_account = held.groupBy("account").agg(F.count_distinct("symbol").alias("open_positions"))
-    pairs = held.select("account", "symbol").distinct().withColumn("already_held", F.lit(True))
-    return (signals.join(per_account, "account", "left").join(pairs, ["account", "symbol"], "left")
-            .fillna({"open_positions": 0, "already_held": False}))
+    """Adds ``open_positions`` of the account and ``already_held`` for the signal's symbol.
+
+    One row per account with its set of symbols, which is as small as the symbol list.
+    """
+    held = held_positions(positions).groupBy("account").agg(F.collect_set("symbol").alias("_held"))
+    symbols = F.coalesce("_held", F.array().cast("array<string>"))
+    return (signals.join(held, "account", "left")
+            .withColumns({"open_positions": F.size(symbols).cast("bigint"),
+                          "already_held": F.coalesce(F.array_contains(symbols, F.col("symbol")), F.lit(False))})
+            .drop("_held"))
 
 
 def within_position_limits(limits: RiskLimits) -> Column:
@@ -60,7 +64,10 @@ def open_position_semi(signals: DataFrame, positions: DataFrame) -> DataFrame:
 
 
 def validate_signals(signals: DataFrame, positions: DataFrame, limits: RiskLimits) -> DataFrame:
-    """First failed check in order becomes ``reason``; needs ``daily_trades`` and ``daily_pnl``."""
+    """First failed check in order becomes ``reason``.
+
+    Needs ``daily_trades`` and ``daily_pnl`` of what was executed before the signal (``prior_daily_counters``).
+    """
     df = with_open_positions(signals, positions)
     conf = F.coalesce("confidence", F.lit(0.0))
     # The checks in order.
@@ -103,6 +110,18 @@ def daily_risk_counters(trades: DataFrame, order: Sequence[str], *, bucket: Colu
                          {"daily_pnl": F.col("pnl"), "daily_trades": F.lit(1)}, bucket=bucket)
 
 
+def prior_daily_counters(trades: DataFrame, order: Sequence[str], *, bucket: Column, executed: Column,
+                         time: str = "timestamp") -> DataFrame:
+    """P&L and number of the account's executed trades of the day strictly before each row.
+
+    A signal is judged by what was done before it: neither its own result nor rejected rows count.
+    """
+    won, done = F.when(executed, F.col("pnl")).otherwise(0.0), F.when(executed, 1).otherwise(0)
+    upto = running_total(trades.withColumn("day", F.to_date(time)), ["account", "day"], order,
+                         {"daily_pnl": won, "daily_trades": done}, bucket=bucket)
+    return upto.withColumns({"daily_pnl": F.col("daily_pnl") - won, "daily_trades": F.col("daily_trades") - done})
+
+
 def emergency_stop(limits: RiskLimits) -> Column:
     pnl = F.col("daily_pnl")
     return (pnl <= -limits.max_daily_loss) | (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from tidewick import schemas
@@ -244,9 +246,15 @@ def _collected(spark, stream):
 
 
 def _bar_stream(spark, sf, frame="1Hour"):
+    """Bars as five files that each mix all times, one file for each trigger."""
     path = scratch_path(spark, "bars")
-    t.bars(spark, sf, frame).write.parquet(path)
-    return path, jobs.stream_source(spark, path, "bar")
+    t.bars(spark, sf, frame).repartition(5, F.xxhash64("symbol", "timestamp")).write.parquet(path)
+    return jobs.stream_source(spark, path, "bar", files_per_trigger=1)
+
+
+def _in_ranges(spark, stream, step):
+    """Any file can hold any time of the month, so a bar is due 40 days after the latest one seen, or at the end."""
+    return jobs.run_ranges(stream, step(scratch_path(spark, "ranges"), "40 days"), scratch_path(spark, "ranges-state"))
 
 
 @query("stream_sources", S.with_(S.TICKS, select="SELECT trade_id, symbol, timestamp, price, size FROM ticks WHERE symbol IN ('click', 'view')"))
@@ -268,13 +276,20 @@ def stream_bars(spark, sf):
     return _collected(spark, jobs.stream_bars(_tick_stream(spark, sf), "1Hour", "10 minutes"))
 
 
-@query("stream_last_n", S.with_(S.TICKS, S.bars(), """w AS (SELECT *, row_number() OVER v AS k, avg(close) OVER (PARTITION BY symbol ORDER BY timestamp ROWS 4 PRECEDING) AS s5,
-  avg(close) OVER (PARTITION BY symbol ORDER BY timestamp ROWS 19 PRECEDING) AS s20,
-  avg(volume) OVER (PARTITION BY symbol ORDER BY timestamp ROWS 19 PRECEDING) AS av FROM bars WINDOW v AS (PARTITION BY symbol ORDER BY timestamp))""",
-  select=f"""SELECT symbol, timestamp, close AS latest_price, least(k, 1000) AS bars, {S.r('CASE WHEN k >= 5 THEN s5 ELSE close END', 'sma_5')},
-  {S.r('CASE WHEN k >= 20 THEN s20 ELSE close END', 'sma_20')}, {S.r('CASE WHEN av > 0 THEN volume / av ELSE 1 END', 'volume_ratio')} FROM w"""))
+@query("stream_last_n", S.with_(S.TICKS, S.bars(), """w AS (SELECT *, row_number() OVER v AS k, lag(close) OVER v AS prev,
+    avg(close) OVER (PARTITION BY symbol ORDER BY timestamp ROWS 4 PRECEDING) AS s5,
+    avg(close) OVER (PARTITION BY symbol ORDER BY timestamp ROWS 19 PRECEDING) AS s20,
+    avg(volume) OVER (PARTITION BY symbol ORDER BY timestamp ROWS 19 PRECEDING) AS av,
+    list(close) OVER (PARTITION BY symbol ORDER BY timestamp ROWS 19 PRECEDING) AS c FROM bars WINDOW v AS (PARTITION BY symbol ORDER BY timestamp)),
+  x AS (SELECT *, CASE WHEN k >= 5 THEN s5 ELSE close END AS a5, CASE WHEN k >= 20 THEN s20 ELSE close END AS a20,
+    list_transform(range(1, least(len(c), 10)), lambda i: (c[i + 1] - c[i]) / c[i]) AS rets FROM w)""",
+  select=f"""SELECT symbol, timestamp, close AS latest_price, least(k, 1000) AS bars, {S.r('CASE WHEN k >= 2 THEN a5 END', 'sma_5')},
+  {S.r('CASE WHEN k >= 2 THEN a20 END', 'sma_20')}, {S.r('close - prev', 'price_change')}, {S.r('(close - prev) / prev * 100', 'price_change_pct')},
+  {S.r('CASE WHEN k >= 2 THEN CASE WHEN av > 0 THEN volume / av ELSE 1 END END', 'volume_ratio')},
+  {S.r('CASE WHEN k >= 10 THEN sqrt(list_sum(list_transform(rets, lambda q: q * q)) / len(rets)) * 100 WHEN k >= 2 THEN 0 END', 'volatility')},
+  CASE WHEN k >= 2 THEN CASE WHEN a5 > a20 THEN 'bullish' WHEN a5 < a20 THEN 'bearish' ELSE 'neutral' END END AS trend FROM x"""))
 def stream_last_n(spark, sf):
-    return _collected(spark, jobs.stream_last_n(_bar_stream(spark, sf)[1]))
+    return _in_ranges(spark, _bar_stream(spark, sf), jobs.stream_last_n)
 
 
 @query("stream_momentum", S.with_(S.TICKS, S.bars(), """m AS (SELECT symbol, timestamp, close, row_number() OVER (PARTITION BY symbol ORDER BY timestamp) AS n,
@@ -284,19 +299,27 @@ def stream_last_n(spark, sf):
     CASE WHEN n >= 10 THEN round(oa + 1e-9, 6) END AS older_avg,
     CASE WHEN n >= 10 THEN CASE WHEN ra > oa * 1.02 THEN 'bullish' WHEN ra < oa * 0.98 THEN 'bearish' ELSE 'none' END END AS momentum FROM m"""))
 def stream_momentum(spark, sf):
-    return _collected(spark, jobs.stream_momentum(_bar_stream(spark, sf)[1]))
+    return _in_ranges(spark, _bar_stream(spark, sf), jobs.stream_momentum)
 
 
-@query("stream_decide", S.hourly(f"""SELECT symbol, timestamp, close, CASE signal WHEN 'BUY' THEN 'buy' WHEN 'SELL' THEN 'sell' ELSE 'hold' END AS action,
-  {S.r('confidence')}, symbol IN ('click', 'view', 'purchase') AND confidence >= 0.6 AS is_valid FROM adv""", S.ADVANCED))
+@query("stream_decide", S.hourly(f"""SELECT symbol, timestamp, close, action, {S.r('confidence')}, reason IS NULL AS is_valid, reason FROM (
+  SELECT *, CASE WHEN NOT symbol IN ('click', 'view', 'purchase') THEN 'invalid signal format' WHEN done >= 40 THEN 'daily trade limit reached'
+    WHEN lost <= -5000 THEN 'daily loss limit exceeded' WHEN NOT (action = 'hold' OR symbol <> 'view') THEN 'position limits exceeded'
+    WHEN confidence < 0.6 THEN 'signal confidence too low' END AS reason FROM verdicts)""", S.ADVANCED, """executed AS (
+  SELECT timestamp, sum(CASE WHEN price < 50 THEN price - 50 ELSE 0 END) AS pnl, count(*) AS n FROM ticks WHERE trade_id % 10 = 0 GROUP BY 1)""",
+  """verdicts AS (SELECT a.symbol, a.timestamp, a.close, a.confidence, CASE signal WHEN 'BUY' THEN 'buy' WHEN 'SELL' THEN 'sell' ELSE 'hold' END AS action,
+  coalesce((SELECT sum(n) FROM executed e WHERE e.timestamp < a.timestamp AND e.timestamp >= date_trunc('day', a.timestamp)), 0) AS done,
+  coalesce((SELECT sum(pnl) FROM executed e WHERE e.timestamp < a.timestamp AND e.timestamp >= date_trunc('day', a.timestamp)), 0) AS lost FROM adv a)"""))
 def stream_decide(spark, sf):
-    path, stream = _bar_stream(spark, sf)
-    out, checkpoint = scratch_path(spark, "verdicts"), scratch_path(spark, "verdict-state")
-    limits = jobs.RiskLimits(symbols=("click", "view", "purchase"))
-    history = lambda: spark.read.schema(schemas.BARS).parquet(path)
-    jobs.run_batches(stream, jobs.decide_step(history, limits, out), checkpoint)
-    return spark.read.parquet(out).select("symbol", "timestamp", "close", "action", "confidence",
-                                          "is_valid")
+    """Verdicts of one account that holds 'view'; every tenth tick was a trade of it."""
+    limits = jobs.RiskLimits(symbols=("click", "view", "purchase"), max_daily_trades=40, max_daily_loss=5000.0)
+    price = F.col("price")
+    executed = t.ticks(spark, sf).filter("trade_id % 10 = 0").select(
+        "timestamp", F.when(price < 50, price - 50).otherwise(0.0).alias("pnl"))
+    positions = spark.createDataFrame([("view", 3.0), ("signup", 0.0)], "symbol string, qty double")
+    step = partial(jobs.decide_step, limits=limits, positions=lambda: positions, executed=lambda: executed)
+    return _in_ranges(spark, _bar_stream(spark, sf), lambda root, delay: step(root, delay=delay)).select(
+        "symbol", "timestamp", "close", "action", "confidence", "is_valid", "reason")
 
 
 @query("stream_log_sink", S.with_(S.TICKS, select="SELECT 'signal_generation' AS type, symbol, count(*) AS n FROM ticks GROUP BY 2"))

@@ -96,11 +96,12 @@ def log_type_filter(spark, sf):
         "trade_id", "symbol", "timestamp", "action")
 
 
-@query("trade_summary", S.with_(S.TRADES, select="""SELECT coalesce(symbol, 'ALL') AS symbol, count(*) AS total_trades,
+@query("trade_summary", S.with_(S.TRADES, select=f"""SELECT coalesce(symbol, 'ALL') AS symbol, count(*) AS total_trades,
   count(*) FILTER (action = 'buy') AS buys, count(*) FILTER (action = 'sell') AS sells,
-  count(*) FILTER (action = 'hold') AS holds FROM trades GROUP BY ROLLUP (symbol)"""))
+  count(*) FILTER (action = 'hold') AS holds FROM trades WHERE timestamp > {AS_OF} - INTERVAL 2160 HOURS
+  GROUP BY ROLLUP (symbol)"""))
 def trade_summary(spark, sf):
-    return perf.trade_summary(t.trades(spark, sf))
+    return perf.trade_summary(perf.recent(t.trades(spark, sf), t.trades_as_of(), 2160))
 
 
 @query("latest_performance", S.with_(S.TRADES, select="""SELECT arg_max(pnl_text, (timestamp, trade_id)) AS latest_performance,
@@ -147,7 +148,7 @@ _DAILY = f"""daily AS (SELECT *, sum(pnl) {_WD} AS daily_pnl, count(*) {_WD} AS
 
 def _daily(spark, sf):
     return risk.daily_risk_counters(t.trades(spark, sf), ORDER,
-                                    bucket=F.expr("trade_id div 1048576"))
+                                    bucket=t.day_bucket())
 
 
 @query("daily_risk_counters", S.with_(S.TRADES, _DAILY, select=f"""SELECT trade_id, account, {S.r('daily_pnl')},
@@ -172,9 +173,24 @@ def risk_metrics(spark, sf):
         "max_drawdown", "max_open_positions")
 
 
+_WP = "OVER (PARTITION BY account, day ORDER BY timestamp, trade_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+_PRIOR = f"""prior AS (SELECT *, coalesce(sum(pnl) FILTER (status = 'filled') {_WP}, 0) AS daily_pnl,
+  count(*) FILTER (status = 'filled') {_WP} AS daily_trades FROM (SELECT *, CAST(timestamp AS DATE) AS day FROM trades))"""
+
+
+def _prior(spark, sf):
+    return risk.prior_daily_counters(t.trades(spark, sf), ORDER, bucket=t.day_bucket(),
+                                     executed=F.col("status") == "filled")
+
+
+@query("prior_daily_counters", S.with_(S.TRADES, _PRIOR, select=f"SELECT trade_id, account, {S.r('daily_pnl')}, daily_trades FROM prior"))
+def prior_daily_counters(spark, sf):
+    return _prior(spark, sf).select("trade_id", "account", "daily_pnl", "daily_trades")
+
+
 # Signals: every trade, for the supplier account with the same number, in a position symbol.
 _SIGNALS = """signals AS (SELECT trade_id, account, daily_pnl, daily_trades, action, symbol, reasoning,
-  CASE WHEN confidence > 0.97 THEN confidence + 0.5 WHEN confidence < 0.02 THEN NULL ELSE confidence END AS confidence FROM daily),
+  CASE WHEN confidence > 0.97 THEN confidence + 0.5 WHEN confidence < 0.02 THEN NULL ELSE confidence END AS confidence FROM prior),
   held AS (SELECT account, CASE symbol WHEN 'A' THEN '1-URGENT' WHEN 'N' THEN '2-HIGH' ELSE '3-MEDIUM' END AS symbol
   FROM positions WHERE qty <> 0 AND unrealized_plpc < -0.05),
   cnt AS (SELECT account, count(DISTINCT symbol) AS open_positions FROM held GROUP BY 1)"""
@@ -185,7 +201,7 @@ _FORMAT = f"coalesce(action IN ('buy', 'sell', 'hold') AND confidence BETWEEN 0
 def _signals(spark, sf):
     c = F.col("confidence")
     conf = F.when(c > 0.97, c + 0.5).when(c < 0.02, F.lit(None)).otherwise(c)
-    return _daily(spark, sf).withColumn("confidence", conf).select(
+    return _prior(spark, sf).withColumn("confidence", conf).select(
         "trade_id", "account", "daily_pnl", "daily_trades", "action", "symbol", "reasoning",
         "confidence")
 
@@ -196,7 +212,7 @@ def _held(spark, sf):
         "account", name.alias("symbol"), "qty")
 
 
-@query("signal_format", S.with_(S.TRADES, _DAILY, S.POSITIONS, _SIGNALS, select=f"SELECT trade_id, {_FORMAT} AS ok FROM signals"))
+@query("signal_format", S.with_(S.TRADES, _PRIOR, S.POSITIONS, _SIGNALS, select=f"SELECT trade_id, {_FORMAT} AS ok FROM signals"))
 def signal_format(spark, sf):
     return _signals(spark, sf).select("trade_id", risk.signal_format_ok(L).alias("ok"))
 
@@ -205,21 +221,21 @@ _LIMITS_OK = "(action = 'hold' OR (coalesce(open_positions, 0) < 3 AND h.account
 _JOINED = "FROM signals s LEFT JOIN cnt USING (account) LEFT JOIN held h ON s.account = h.account AND s.symbol = h.symbol"
 
 
-@query("position_limits", S.with_(S.TRADES, _DAILY, S.POSITIONS, _SIGNALS, select=f"""SELECT trade_id,
+@query("position_limits", S.with_(S.TRADES, _PRIOR, S.POSITIONS, _SIGNALS, select=f"""SELECT trade_id,
   coalesce(open_positions, 0) AS open_positions, h.account IS NOT NULL AS already_held, {_LIMITS_OK} AS ok {_JOINED}"""))
 def position_limits(spark, sf):
     return risk.with_open_positions(_signals(spark, sf), _held(spark, sf)).select(
         "trade_id", "open_positions", "already_held", risk.within_position_limits(L).alias("ok"))
 
 
-@query("open_position_semi", S.with_(S.TRADES, _DAILY, S.POSITIONS, _SIGNALS, select="""SELECT trade_id, account, symbol
+@query("open_position_semi", S.with_(S.TRADES, _PRIOR, S.POSITIONS, _SIGNALS, select="""SELECT trade_id, account, symbol
   FROM signals s WHERE EXISTS (SELECT 1 FROM held h WHERE h.account = s.account AND h.symbol = s.symbol)"""))
 def open_position_semi(spark, sf):
     return risk.open_position_semi(_signals(spark, sf), _held(spark, sf)).select(
         "trade_id", "account", "symbol")
 
 
-@query("validate_signals", S.with_(S.TRADES, _DAILY, S.POSITIONS, _SIGNALS, f"""v AS (SELECT trade_id, CASE
+@query("validate_signals", S.with_(S.TRADES, _PRIOR, S.POSITIONS, _SIGNALS, f"""v AS (SELECT trade_id, CASE
   WHEN NOT {_FORMAT.replace('symbol', 's.symbol')} THEN 'invalid signal format' WHEN daily_trades >= 3 THEN 'daily trade limit reached'
   WHEN daily_pnl <= -200 THEN 'daily loss limit exceeded' WHEN NOT {_LIMITS_OK} THEN 'position limits exceeded'
   WHEN coalesce(confidence, 0) < 0.6 THEN 'signal confidence too low' END AS reason {_JOINED})""",

@@ -96,8 +96,8 @@ def trades(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def day_bucket() -> Column:
-    """Bucket of the trade order: a day, split by ranges of the key that breaks ties."""
-    return F.struct(F.to_date("timestamp").alias("day"), F.expr("trade_id div 1048576").alias("part"))
+    """Bucket of the (time, trade_id) order: from its first column, so it never decreases along the order."""
+    return F.date_trunc("hour", F.col("timestamp"))
 
 
 def positions(spark: SparkSession, sf: str) -> DataFrame:

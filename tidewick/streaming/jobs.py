@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from tidewick import schemas
 from tidewick.functions.rules import with_signal_advanced
 from tidewick.operators.indicators import indicator_panel
+from tidewick.operators.live import CONTEXT_BARS, CONTEXT_FIELDS, momentum_5v5, recent_context
 from tidewick.operators.resample import resample
-from tidewick.operators.risk import RiskLimits, signal_format_ok
+from tidewick.operators.risk import RiskLimits, prior_daily_counters, validate_signals
+from tidewick.operators.series import HALO_ROWS
+from tidewick.streaming.ranges import ClosedRanges
 
 FEEDS = {"bar": schemas.BARS, "quote": schemas.QUOTES, "trade": schemas.TRADES}
 BUFFER_BARS, HISTORY_BARS = 1000, 100
+#: The longest look-back (1440 bars) on top of what the slowest average remembers.
+DECISION_BARS = HALO_ROWS + 1440
 
 
 def stream_source(spark: SparkSession, path: str, feed: str | StructType, *,
                   symbols: Sequence[str] | None = None, fmt: str = "parquet",
                   files_per_trigger: int | None = None,
                   bytes_per_trigger: int = 1 << 30) -> DataFrame:
-    """A file feed of bars, quotes or trades for a symbol list (a Kafka source fits the same way).
-
-    The trigger limit bounds what a stateful step sees of one symbol at a time.
-    """
+    """A file feed of bars, quotes or trades for a symbol list (a Kafka source fits the same way)."""
     schema = FEEDS[feed] if isinstance(feed, str) else feed
     reader = spark.readStream.format(fmt).schema(schema)
     if files_per_trigger:
@@ -53,102 +53,72 @@ def stream_dedup(bars: DataFrame, watermark: str, *keys: str) -> DataFrame:
     return bars.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
-_CONTEXT_SCHEMA = ("symbol string, timestamp timestamp, close double, history int, "
-                   "recent_avg double, older_avg double, momentum string")
-_STATE_SCHEMA = "times array<bigint>, closes array<double>"
+def momentum_of(bars: DataFrame, keep: int = HISTORY_BARS) -> DataFrame:
+    """Momentum on every bar, with the number of bars it could look at."""
+    at = F.col("pos") + 1
+    return momentum_5v5(bars, F.col("close"), F.least(at, F.lit(keep)).alias("history"))
+
+
+def stream_momentum(root: str, delay: str, keep: int = HISTORY_BARS) -> ClosedRanges:
+    """Step that gives the momentum of every bar once the watermark has passed it."""
+    return ClosedRanges(root, lambda bars: momentum_of(bars, keep), keep=max(keep, 10), delay=delay)
+
 
+def last_n_of(bars: DataFrame, keep: int = BUFFER_BARS) -> DataFrame:
+    """Newest price and the short-context indicators on every bar, and the number of bars in the buffer."""
+    return recent_context(bars, digits=None).withColumns({
+        "latest_price": F.col("close"), "bars": F.least(F.col("pos") + 1, F.lit(keep))}).select(
+        "symbol", "timestamp", "latest_price", "bars", *CONTEXT_FIELDS)
 
-# The steps below are nested functions that use pandas only: they travel to the workers by value, so
-# the package need not be installed there.
 
-def stream_momentum(bars: DataFrame, keep: int = HISTORY_BARS) -> DataFrame:
-    """Momentum on every arriving bar over the last ``keep`` closes of its symbol.
+def stream_last_n(root: str, delay: str, keep: int = BUFFER_BARS) -> ClosedRanges:
+    """Step that gives the live context of every bar once the watermark has passed it."""
+    return ClosedRanges(root, lambda bars: last_n_of(bars, keep), keep=max(keep, CONTEXT_BARS), delay=delay)
 
-    The micro-batch is merged in event-time order with the kept tail, which is all the state there is.
+
+def decide(bars: DataFrame, limits: RiskLimits, positions: DataFrame | None = None,
+           executed: DataFrame | None = None) -> DataFrame:
+    """Rule signal and risk verdict for each bar of one account.
+
+    ``positions`` (symbol, qty) are the open ones, ``executed`` (timestamp, pnl) the trades done; the daily
+    counters of a bar take the trades of its day before it.
     """
-    def step(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState
-             ) -> Iterator[pd.DataFrame]:
-        times, closes = state.get if state.exists else ([], [])
-        new = pd.concat(list(batches)).sort_values("timestamp", kind="stable")
-        have = len(closes)
-        series = pd.Series([*closes, *new["close"]], dtype="float64")
-        out = pd.DataFrame({
-            "close": series, "history": pd.Series(range(1, len(series) + 1)).clip(upper=keep),
-            "recent_avg": series.rolling(5).mean(),
-            "older_avg": series.rolling(5).mean().shift(5)}).iloc[have:]
-        ready = out["older_avg"].notna()
-        out["recent_avg"] = out["recent_avg"].where(ready)
-        verdict = pd.Series("none", index=out.index)
-        verdict[out["recent_avg"] > out["older_avg"] * 1.02] = "bullish"
-        verdict[out["recent_avg"] < out["older_avg"] * 0.98] = "bearish"
-        out["momentum"] = verdict.where(ready, None)
-        out.insert(0, "symbol", key[0])
-        out.insert(1, "timestamp", new["timestamp"].to_numpy())
-        stamps = [*times, *(new["timestamp"].astype("datetime64[us]").astype("int64"))]
-        state.update((stamps[-keep:], series.tolist()[-keep:]))
-        yield out
-
-    return (bars.select("symbol", "timestamp", "close").groupBy("symbol")
-            .applyInPandasWithState(step, _CONTEXT_SCHEMA, _STATE_SCHEMA, "append",
-                                    GroupStateTimeout.NoTimeout))
-
-
-_BUFFER_SCHEMA = ("symbol string, timestamp timestamp, latest_price double, bars int, sma_5 double, "
-                  "sma_20 double, volume_ratio double")
-_BUFFER_STATE = "closes array<double>, volumes array<double>"
-
-
-def stream_last_n(bars: DataFrame, keep: int = BUFFER_BARS) -> DataFrame:
-    """Newest price and short-context averages on every bar, from a bounded buffer per symbol."""
-    def step(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState
-             ) -> Iterator[pd.DataFrame]:
-        closes, volumes = state.get if state.exists else ([], [])
-        new = pd.concat(list(batches)).sort_values("timestamp", kind="stable")
-        have = len(closes)
-        c = pd.Series([*closes, *new["close"]], dtype="float64")
-        v = pd.Series([*volumes, *new["volume"]], dtype="float64")
-        mean_volume = v.rolling(20, min_periods=1).mean()
-        frame = pd.DataFrame({
-            "latest_price": c, "bars": pd.Series(range(1, len(c) + 1)).clip(upper=keep),
-            "sma_5": c.rolling(5).mean().fillna(c), "sma_20": c.rolling(20).mean().fillna(c),
-            "volume_ratio": (v / mean_volume).where(mean_volume > 0, 1.0)}).iloc[have:]
-        frame.insert(0, "symbol", key[0])
-        frame.insert(1, "timestamp", new["timestamp"].to_numpy())
-        state.update((c.tolist()[-keep:], v.tolist()[-keep:]))
-        yield frame
-
-    return (bars.select("symbol", "timestamp", "close", "volume").groupBy("symbol")
-            .applyInPandasWithState(step, _BUFFER_SCHEMA, _BUFFER_STATE, "append",
-                                    GroupStateTimeout.NoTimeout))
-
-
-def decide(bars: DataFrame, limits: RiskLimits) -> DataFrame:
-    """Rule signal and risk verdict for each bar (before account-level checks)."""
     df = with_signal_advanced(indicator_panel(bars)).withColumn("action", F.expr(
         "CASE signal WHEN 'BUY' THEN 'buy' WHEN 'SELL' THEN 'sell' ELSE 'hold' END"))
-    ok = signal_format_ok(limits) & (F.col("confidence") >= limits.min_confidence)
-    return df.select("symbol", "timestamp", "close", "action", "confidence", "reasoning",
-                     ok.alias("is_valid"))
+    df = df.select("symbol", "timestamp", "close", "action", "confidence", "reasoning", F.lit(0).alias("account"))
+    spark = bars.sparkSession
+    if executed is None:
+        executed = spark.createDataFrame([], "timestamp timestamp, pnl double")
+    if positions is None:
+        positions = spark.createDataFrame([], "symbol string, qty double")
+    trades = executed.select("timestamp", "pnl", F.lit(1).alias("_done"))
+    times = df.select("timestamp").distinct().select("timestamp", F.lit(0.0).alias("pnl"), F.lit(0).alias("_done"))
+    counted = prior_daily_counters(trades.unionByName(times).withColumn("account", F.lit(0)), ["timestamp", "_done"],
+                                   bucket=F.date_trunc("hour", "timestamp"), executed=F.col("_done") == 1)
+    counted = counted.filter("_done = 0").select("timestamp", "daily_trades", "daily_pnl")
+    judged = validate_signals(df.join(counted, "timestamp"), positions.withColumn("account", F.lit(0)), limits)
+    return judged.select("symbol", "timestamp", "close", "action", "confidence", "reasoning", "is_valid", "reason")
+
+
+def decide_step(root: str, limits: RiskLimits, delay: str, *,
+                positions: Callable[[], DataFrame] | None = None,
+                executed: Callable[[], DataFrame] | None = None) -> ClosedRanges:
+    """Step that gives a verdict on every bar once the watermark has passed it.
+
+    The kept bars cover the longest look-back and the memory of the slowest average. The account's tables
+    are read anew for each range.
+    """
+    def work(bars: DataFrame) -> DataFrame:
+        return decide(bars, limits, positions and positions(), executed and executed())
 
+    return ClosedRanges(root, work, keep=DECISION_BARS, delay=delay)
 
-def decide_step(history: Callable[[], DataFrame], limits: RiskLimits, out: str,
-                lookback: str = "30 days") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` step: stored bars of the look-back plus the batch, verdicts for the batch.
 
-    ``history`` returns the stored bars table. Each batch has its own folder, so a retried batch
-    replaces its output.
-    """
-    def step(batch: DataFrame, batch_id: int) -> None:
-        bars = batch.select("symbol", "timestamp", "open", "high", "low", "close", "volume")
-        first = bars.agg(F.min("timestamp") - F.expr(f"INTERVAL {lookback}")).scalar()
-        past = history().select(*bars.columns).filter(F.col("timestamp") >= first)
-        # A bar may be stored already; the panel needs it once.
-        known = past.unionByName(bars).dropDuplicates(["symbol", "timestamp"])
-        fresh = decide(known, limits).join(bars.select("symbol", "timestamp"),
-                                           ["symbol", "timestamp"], "left_semi")
-        fresh.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    return step
+def run_ranges(bars: DataFrame, step: ClosedRanges, checkpoint: str) -> DataFrame:
+    """Runs a feed that has ended through ``step`` and closes its last range."""
+    run_batches(bars, step, checkpoint)
+    step.finish(bars.sparkSession, bars.schema)
+    return step.results(bars.sparkSession)
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str, *, fmt: str = "parquet",
