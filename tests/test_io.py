@@ -29,11 +29,14 @@ def test_candle_arrays(spark):
     assert str(r.timestamp) == "2024-01-01 00:00:00"
 
 
-def test_malformed_samples_are_dropped(spark, tmp_path):
+def test_malformed_samples(spark, tmp_path):
     path = tmp_path / "s.json"
     path.write_text('{"symbol":"A","price_data":{"close":1.5},"signal":"BUY"}\n{"symbol": "B", \n'
                     '{"symbol":"C","signal":"HOLD"}\n')
-    assert {r.symbol for r in readers.json_samples(spark, str(path)).collect()} == {"A", "C"}
+    with pytest.raises(Exception):
+        readers.json_samples(spark, str(path)).collect()
+    assert {r.symbol for r in readers.json_samples(spark, str(path), skip_malformed=True).collect()} == {"A", "C"}
+    assert [tuple(r)[1:] for r in readers.malformed_objects(spark, str(path)).collect()] == [(1, 3)]
 
 
 def test_sample_array_file(spark, tmp_path):
@@ -42,12 +45,15 @@ def test_sample_array_file(spark, tmp_path):
     assert readers.json_samples(spark, str(path), array=True).count() == 2
 
 
-def test_event_log_ignores_bad_lines(spark, tmp_path):
+def test_event_log_bad_lines(spark, tmp_path):
     (tmp_path / "log.jsonl").write_text(
         '{"timestamp":"2024-01-01T00:00:00","type":"error","data":"{}"}\nnot json\n\n'
         '{"timestamp":"2024-01-02T00:00:00","type":"trade_execution","data":"{}"}\n')
-    log = readers.event_log(spark, str(tmp_path))
+    with pytest.raises(Exception):
+        readers.event_log(spark, str(tmp_path)).collect()
+    log = readers.event_log(spark, str(tmp_path), skip_malformed=True)
     assert log.count() == 2
+    assert tuple(readers.malformed_lines(spark, str(tmp_path)).first()) == (1, 3)
     assert readers.recent_of_type(log, "trade_execution").count() == 1
 
 
@@ -60,7 +66,10 @@ def test_chunks_limit_and_corrupt_file(spark, tmp_path):
     assert first.count() == 30 and first.select("chunk").distinct().count() == 3
     (tmp_path / "c" / "part-99999-bad.snappy.parquet").write_bytes(b"PAR1 nothing useful PAR1")
     spark.conf.set("spark.sql.files.ignoreCorruptFiles", "false")
-    assert readers.chunks(spark, path).count() == 95
+    with pytest.raises(Exception):
+        readers.chunks(spark, path).collect()
+    assert readers.chunks(spark, path, skip_unreadable=True).count() == 95
+    assert [r.chunk for r in readers.unreadable_chunks(spark, path).collect()] == ["part-99999-bad.snappy.parquet"]
 
 
 def test_missing_metadata_is_an_error(spark, tmp_path):
@@ -109,3 +118,31 @@ def test_incremental_append_per_product(spark, tmp_path):
     make([("a", 1), ("a", 5)]).write.parquet(path)
     writers.incremental_append(spark, make([("a", 5), ("a", 6), ("b", 2)]), path)
     assert spark.read.parquet(path).count() == 4
+
+
+def test_ordered_chunks_are_full(spark, tmp_path):
+    path = str(tmp_path / "o")
+    df = spark.range(95).select(F.lit("A").alias("symbol"), F.timestamp_seconds("id").alias("timestamp"), "id").repartition(7)
+    writers.write_ordered_chunks(df, path, "symbol", ["timestamp"], bucket=F.date_trunc("minute", "timestamp"), rows_per_file=10)
+    got = spark.read.parquet(path).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo")).collect()
+    assert sorted((r.chunk, r.n, r.lo) for r in got) == [(i, 10 if i < 9 else 5, 10 * i) for i in range(10)]
+
+
+def test_values_that_are_no_numbers(spark, tmp_path):
+    (tmp_path / "A_USD_1m_x.csv").write_text(HEAD + "2024-01-01T00:00:00Z,NaN,Infinity,0.5,1.5,10,A\n")
+    row = readers.multi_symbol_csv(spark, str(tmp_path)).first()
+    assert (row.open, row.high, row.low) == (None, None, 0.5)
+    arrays = spark.createDataFrame([("A", [1704067200.0, float("nan"), 4.0, 2.0, float("inf"), 9.0])], "product_id string, c array<double>")
+    row = readers.from_candle_arrays(arrays).first()
+    assert (row.low, row.close, row.high) == (None, None, 4.0)
+
+
+def test_historical_bars_are_whole(spark):
+    ticks = spark.range(0, 96).select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 1800).alias("timestamp"), F.lit("A").alias("symbol"),
+        F.col("id").cast("double").alias("price"), F.lit(1.0).alias("size"), F.col("id").alias("trade_id"))
+    end = F.lit("2024-01-02 12:30:00").cast("timestamp")
+    bars = readers.historical_bars(ticks, "A", "1Day", end, hours=24).collect()
+    assert [(str(b.timestamp), b.trade_count) for b in bars] == [("2024-01-02 00:00:00", 48)]
+    hours = readers.historical_bars(ticks, "A", "1Hour", end, hours=2).collect()
+    assert [(str(b.timestamp)[11:], b.trade_count) for b in hours] == [("11:00:00", 2), ("12:00:00", 2)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewick.functions.numeric import ratio
+from tidewick.functions.numeric import finite, ratio
 
 # Time-frame names and their widths; an unknown name means one minute.
 TIMEFRAMES = {"1Min": "1 minute", "5Min": "5 minutes", "15Min": "15 minutes", "1Hour": "1 hour",
@@ -28,12 +28,14 @@ def resample(ticks: DataFrame, timeframe: str = "1Min", *, watermark: str | None
              time: str = "timestamp") -> DataFrame:
     """Tumbling bars per symbol with open/high/low/close, volume, trade_count and vwap.
 
-    Works on batch and streaming input; pass ``watermark`` for a stream.
+    Works on batch and streaming input; pass ``watermark`` for a stream. Ticks whose price is missing or
+    no finite number are left out; such a size is missing.
     """
     if watermark:
         ticks = ticks.withWatermark(time, watermark)
     order = tick_order(time, "trade_id")
-    price, size = F.col("price"), F.col("size")
+    ticks = ticks.filter(finite(F.col("price").cast("double")).isNotNull())
+    price, size = F.col("price"), finite(F.col("size").cast("double"))
     bars = ticks.groupBy("symbol", F.window(time, width_of(timeframe)).alias("_w")).agg(
         F.min_by(price, order).alias("open"), F.max(price).alias("high"),
         F.min(price).alias("low"), F.max_by(price, order).alias("close"),

@@ -153,10 +153,9 @@ _label_query("take_profit_label", lambda: rules.take_profit_label(rules.confiden
 
 
 @query("stop_loss_label", S.hourly(f"""SELECT symbol, timestamp, {_num(S.STOP_LOSS_PCT)} AS stop_loss_pct,
-  stop_text AS stop_loss FROM (SELECT *, CASE WHEN atr IS NULL THEN 'null%' ELSE printf('%.1f%%', {S.STOP_LOSS_PCT}) END AS stop_text FROM panel)
-  WHERE atr IS NOT NULL"""))
+  stop_text AS stop_loss FROM (SELECT *, CASE WHEN atr IS NULL THEN '3.0%' ELSE printf('%.1f%%', {S.STOP_LOSS_PCT}) END AS stop_text FROM panel)"""))
 def stop_loss_label(spark, sf):
-    return t.panel(spark, sf).filter("atr IS NOT NULL").select(
+    return t.panel(spark, sf).select(
         *KEY, rules.stop_loss_pct().alias("stop_loss_pct"),
         rules.stop_loss_label().alias("stop_loss"))
 
@@ -227,9 +226,9 @@ _CAP = 100
 
 
 @query("cap_per_symbol", S.hourly(f"""SELECT symbol, timestamp, signal FROM (SELECT *, row_number() OVER (
-  PARTITION BY symbol ORDER BY timestamp) AS n FROM lab WHERE rsi IS NOT NULL) WHERE n <= {_CAP}""", *_LAB))
+  PARTITION BY symbol ORDER BY timestamp) AS n FROM lab) WHERE n <= {_CAP}""", *_LAB))
 def cap_per_symbol(spark, sf):
-    return smp.cap_per_symbol(t.labelled(spark, sf).filter("rsi IS NOT NULL"), _CAP).select(
+    return smp.cap_per_symbol(t.labelled(spark, sf), _CAP).select(
         *KEY, "signal")
 
 
@@ -249,11 +248,12 @@ def peek_positions(spark, sf):
 
 
 @query("samples_to_decisions", S.hourly(f"""SELECT symbol, timestamp, {S.r('close')}, {S.r('change_24h')},
-  signal AS final_signal, {S.r('confidence', 'final_confidence')}, reasoning AS final_reasoning FROM lab""", *_LAB))
+  signal AS final_signal, {S.r('confidence', 'final_confidence')}, reasoning AS final_reasoning FROM lab
+  ORDER BY symbol, timestamp LIMIT 500""", *_LAB))
 def samples_to_decisions(spark, sf):
     nested = smp.build_sample(t.labelled(spark, sf)).withColumn(
         "timestamp", F.to_timestamp("timestamp"))
-    return smp.samples_to_decisions(nested, None).select(
+    return smp.samples_to_decisions(nested, 500).select(
         *KEY, "market_data.close", "market_data.change_24h", "final_signal", "final_confidence",
         "final_reasoning")
 

@@ -20,7 +20,8 @@ TRADES = _struct(timestamp=TS, symbol=S, price=D, size=D, trade_id=L)
 EVENT_LOG = _struct(timestamp=S, type=S, data=S)
 POSITIONS = _struct(symbol=S, qty=D, side=S, market_value=D, cost_basis=D, unrealized_pl=D,
                     unrealized_plpc=D)
-ACCOUNT = _struct(equity=D, cash=D, buying_power=D)
+ACCOUNT = _struct(account_id=S, equity=D, cash=D, buying_power=D, portfolio_value=D,
+                  trading_blocked=T.BooleanType(), pattern_day_trader=T.BooleanType())
 ORDERS = _struct(id=S, symbol=S, side=S, qty=D, filled_qty=D, order_type=S, status=S,
                  created_at=TS, filled_at=TS, limit_price=D)
 MEMORY_ITEMS = _struct(id=S, agent_id=S, content=S, memory_type=S, timestamp=TS, importance=D,

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewick import schemas
-from tidewick.operators.quality import latest_quote_proxy, orders_filter
+from tidewick.functions.numeric import finite
+from tidewick.operators.indicators import clean_prices
 from tidewick.operators.resample import resample, width_of
 
 # Order of a vendor candle array.
 ARRAY_FIELDS = ("time", "low", "high", "open", "close", "volume")
+PRICES = ("open", "high", "low", "close", "volume")
 
 
 def candle_arrays(spark: SparkSession, path: str) -> DataFrame:
@@ -19,11 +22,11 @@ def candle_arrays(spark: SparkSession, path: str) -> DataFrame:
 
 
 def from_candle_arrays(arrays: DataFrame) -> DataFrame:
-    """Array rows (unix seconds first) to typed candles."""
+    """Array rows (unix seconds first) to typed candles; values that are no finite numbers are NULL."""
     at = {name: F.col("c")[i] for i, name in enumerate(ARRAY_FIELDS)}
     return arrays.select(
-        F.timestamp_seconds(at["time"].cast("bigint")).alias("timestamp"),
-        *[at[x].alias(x) for x in ("open", "high", "low", "close", "volume")], "product_id")
+        F.timestamp_seconds(finite(at["time"]).cast("bigint")).alias("timestamp"),
+        *[finite(at[x]).alias(x) for x in PRICES], "product_id")
 
 
 def product_from_file(name: Column) -> Column:
@@ -32,44 +35,85 @@ def product_from_file(name: Column) -> Column:
 
 
 def ohlcv_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return spark.read.schema(schemas.CANDLES).option("header", True).csv(path)
+    return clean_prices(spark.read.schema(schemas.CANDLES).option("header", True).csv(path), PRICES)
 
 
 def multi_symbol_csv(spark: SparkSession, folder: str, symbols: Sequence[str] | None = None
                      ) -> DataFrame:
-    """All ``*_1m_*.csv`` files of a folder, symbol from the file name; absent symbols are skipped."""
-    df = (spark.read.schema(schemas.CANDLES).option("header", True)
-          .option("pathGlobFilter", "*_1m_*.csv").csv(folder)
-          .withColumn("symbol", product_from_file(F.col("_metadata.file_name"))))
+    """All ``*_1m_*.csv`` of a folder (files, or folders of part files), symbol from that name.
+
+    Absent symbols are skipped.
+    """
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*_1m_[^/]*\.csv)", 1)
+    df = (spark.read.schema(schemas.CANDLES).option("header", True).csv(f"{folder}/*_1m_*.csv")
+          .withColumn("symbol", product_from_file(name)))
+    df = clean_prices(df, PRICES)
     return df.filter(F.col("symbol").isin(*symbols)) if symbols else df
 
 
-def json_samples(spark: SparkSession, path: str, *, array: bool = False) -> DataFrame:
-    """Nested samples; malformed objects are dropped.
+def json_samples(spark: SparkSession, path: str, *, array: bool = False,
+                 skip_malformed: bool = False) -> DataFrame:
+    """Nested samples. A malformed object is an error unless skipping is asked for; ``malformed_objects`` counts them.
 
     Prefer one object per line: a top-level JSON array (``array=True``) cannot be split.
     """
-    return (spark.read.schema(schemas.SAMPLE).option("mode", "DROPMALFORMED")
+    return (spark.read.schema(schemas.SAMPLE).option("mode", "DROPMALFORMED" if skip_malformed else "FAILFAST")
             .option("multiLine", array).json(path))
 
 
-def chunks(spark: SparkSession, path: str, max_chunks: int | None = None) -> DataFrame:
-    """Chunk files in name order, optionally the first few; unreadable files are skipped."""
-    df = spark.read.option("ignoreCorruptFiles", True).parquet(path)
+def malformed_objects(spark: SparkSession, path: str) -> DataFrame:
+    """Per file of one object per line: objects that ``json_samples`` cannot read, and all objects."""
+    bad = "_malformed"
+    schema = StructType([*schemas.SAMPLE.fields, StructField(bad, StringType())])
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
+    lines = lines.filter(F.trim("value") != "").select("file", parsed[bad].isNotNull().alias("malformed"))
+    return lines.groupBy("file").agg(F.count_if("malformed").alias("malformed"), F.count(F.lit(1)).alias("objects"))
+
+
+def chunks(spark: SparkSession, path: str, max_chunks: int | None = None, *,
+           skip_unreadable: bool = False) -> DataFrame:
+    """Chunk files, optionally the first few by name.
+
+    An unreadable file is an error unless skipping is asked for; ``unreadable_chunks`` names them.
+    """
+    df = spark.read.option("ignoreCorruptFiles", skip_unreadable).parquet(path)
     df = df.withColumn("chunk", F.col("_metadata.file_name"))
     if max_chunks is None:
         return df
-    # File names only: the listing is as long as the folder, not as the data.
-    names = sorted(f.rsplit("/", 1)[-1] for f in df.inputFiles())[:max_chunks]
-    return df.filter(F.col("_metadata.file_name").isin(names))
+    # A list of names as long as the folder: it is kept on the executors and cut to the first few there.
+    first = _chunk_files(spark, path).orderBy("chunk").limit(max_chunks)
+    return df.join(first, "chunk", "left_semi")
+
+
+def _chunk_files(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("chunk"))
+
 
+def unreadable_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """Names of the chunk files from which no row can be read."""
+    read = chunks(spark, path, skip_unreadable=True).select("chunk").distinct()
+    return _chunk_files(spark, path).join(read, "chunk", "left_anti")
 
-def event_log(spark: SparkSession, path: str) -> DataFrame:
-    """JSONL envelope rows; lines that are not a JSON object are dropped."""
-    df = (spark.read.schema(schemas.EVENT_LOG).option("mode", "PERMISSIVE").json(path))
+
+def event_log(spark: SparkSession, path: str, *, skip_malformed: bool = False) -> DataFrame:
+    """JSONL envelope rows. A line that is no JSON object is an error unless skipping is asked for.
+
+    Lines without a type are no events; ``malformed_lines`` counts both.
+    """
+    mode = "PERMISSIVE" if skip_malformed else "FAILFAST"
+    df = spark.read.schema(schemas.EVENT_LOG).option("mode", mode).json(path)
     return df.filter(F.col("type").isNotNull())
 
 
+def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row: lines of a log that give no event, and all lines."""
+    df = spark.read.schema(schemas.EVENT_LOG).option("mode", "PERMISSIVE").json(path)
+    return df.select("type").agg(F.count_if(F.col("type").isNull()).alias("malformed"),
+                                 F.count(F.lit(1)).alias("lines"))
+
+
 def recent_of_type(log: DataFrame, kind: str, last: int = 5) -> DataFrame:
     return (log.filter(F.col("type") == kind)
             .orderBy(F.col("timestamp").desc(), F.col("data").desc()).limit(last))
@@ -81,13 +125,19 @@ def dataset_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 def historical_bars(ticks: DataFrame, symbol: str, timeframe: str, end: Column, *,
                     limit: int = 100, hours: int = 24) -> DataFrame:
-    """First ``limit`` bars of the last ``hours`` before ``end`` for one symbol.
+    """First ``limit`` bars that start within the last ``hours`` before ``end``, for one symbol.
 
-    The range is applied to the ticks, where it reaches the scan.
+    Bars are whole: the range of ticks runs from the first bar's start to the last one's end, and it is
+    applied to the ticks, where it reaches the scan.
     """
-    start = F.date_trunc("minute", end - F.expr(f"INTERVAL {int(hours)} HOURS"))
+    width = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {width_of(timeframe)}"))
+
+    def next_start(time: Column) -> Column:
+        return F.timestamp_micros(F.ceil(F.unix_micros(time) / width) * width)
+
+    start = next_start(end - F.expr(f"INTERVAL {int(hours)} HOURS"))
     part = ticks.filter((F.col("symbol") == symbol) & (F.col("timestamp") >= start)
-                        & (F.col("timestamp") < end))
+                        & (F.col("timestamp") < next_start(end)))
     return resample(part, timeframe).orderBy("timestamp").limit(limit)
 
 
@@ -99,9 +149,3 @@ def positions_scan(raw: DataFrame, *keys: str) -> DataFrame:
 def account_scan(raw: DataFrame) -> DataFrame:
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                         for f in schemas.ACCOUNT.fields])
-
-
-__all__ = ["candle_arrays", "from_candle_arrays", "product_from_file", "ohlcv_csv",
-           "multi_symbol_csv", "json_samples", "chunks", "event_log", "recent_of_type",
-           "dataset_metadata", "historical_bars", "positions_scan", "account_scan",
-           "latest_quote_proxy", "orders_filter", "width_of"]

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewick.operators.series import global_positions
+
 # Event types of the log.
 EVENT_TYPES = ("trade_execution", "signal_generation", "performance_update", "error", "risk_event")
 
@@ -26,6 +30,18 @@ def write_chunks(df: DataFrame, path: str, rows_per_file: int = 10_000) -> None:
      .option("maxRecordsPerFile", rows_per_file).parquet(path))
 
 
+def write_ordered_chunks(df: DataFrame, path: str, major: str, order: Sequence[str], *, bucket: Column,
+                         rows_per_file: int = 10_000) -> None:
+    """Chunks of exactly ``rows_per_file`` rows in (major, order) order, only the last one shorter.
+
+    One file a chunk, in the folder ``chunk=<number>``.
+    """
+    placed = global_positions(df, major, order, bucket=bucket, name="_pos").drop("_total")
+    placed = placed.withColumn("chunk", F.expr(f"_pos div {rows_per_file}"))
+    (placed.repartition("chunk").sortWithinPartitions("chunk", "_pos").drop("_pos")
+     .write.mode("overwrite").option("compression", "snappy").partitionBy("chunk").parquet(path))
+
+
 def chunk_metadata(spark: SparkSession, path: str) -> DataFrame:
     """One row per chunk file: rows and bytes. Rows come from the Parquet footers' counts."""
     df = spark.read.parquet(path)
