@@ -57,8 +57,6 @@ def check(spark, pdf: pd.DataFrame):
         assert (q.pos == np.arange(len(q))).all()
         for name, want in reference(g.reset_index(drop=True)).items():
             assert (q[name].isna() == want.isna()).all(), name
-            if name == "volume_price_trend":
-                continue
             err = ((q[name] - want).abs() / (1 + want.abs())).max()
             assert not err > 1e-8, (symbol, name, err)
 

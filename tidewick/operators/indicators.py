@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewick.functions.numeric import finite, flag, pct, ratio
-from tidewick.operators.series import block_window, blocked, day_of, number_rows
+from tidewick.operators.series import BLOCK_ROWS, HALO_ROWS, block_window, blocked, day_of, number_rows
 from tidewick.session import written
 
 # Look-backs of the panel.
@@ -81,14 +81,18 @@ def _from(pos: int, x: Column) -> Column:
 
 def indicator_panel(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
                     time: str = "timestamp", bucket: Column | None = None,
-                    price_trend: bool = False) -> DataFrame:
+                    price_trend: bool = False, rows_per_block: int = BLOCK_ROWS,
+                    halo: int = HALO_ROWS) -> DataFrame:
     """All columns of ``OUTPUT`` next to the input columns, plus ``pos``.
 
+    ``halo`` is at least the longest look-back and what the slowest average remembers.
+
     Select what is needed: unused windows are pruned by the optimizer. ``price_trend`` adds
     ``volume_price_trend``, whose block totals cost a second, narrower pass.
     """
     keys = list(keys)
-    df = blocked(candles, keys, [time], bucket=day_of(time) if bucket is None else bucket)
+    df = blocked(candles, keys, [time], bucket=day_of(time) if bucket is None else bucket,
+                 rows_per_block=rows_per_block, halo=halo)
     totals = _trend_totals(df, keys) if price_trend else None
     df = df.withColumns({"_s4": F.expr(f"pos div {_SUB_LARGE}"),
                          "_s1": F.expr(f"pos div {_SUB_SMALL}")})
@@ -212,13 +216,15 @@ def _trend() -> Column:
 
 
 def volume_price_trend(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
-                       time: str = "timestamp", bucket: Column | None = None) -> DataFrame:
+                       time: str = "timestamp", bucket: Column | None = None,
+                       rows_per_block: int = BLOCK_ROWS) -> DataFrame:
     """Running sum of volume x one-row change over the whole series, as ``volume_price_trend``.
 
     Each block sums its own rows; the block table gives every block the total before it.
     """
     keys = list(keys)
-    df = blocked(candles, keys, [time], bucket=day_of(time) if bucket is None else bucket, halo=1)
+    df = blocked(candles, keys, [time], bucket=day_of(time) if bucket is None else bucket, halo=1,
+                 rows_per_block=rows_per_block)
     totals = _trend_totals(df, keys)
     local = F.sum("_vpt").over(block_window(keys).rowsBetween(Window.unboundedPreceding, 0))
     return (_trend_steps(df, keys).withColumn("_local", local).join(totals, [*keys, "_blk"])
@@ -227,9 +233,11 @@ def volume_price_trend(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
 
 
 def full_panel(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
-               time: str = "timestamp", bucket: Column | None = None) -> DataFrame:
+               time: str = "timestamp", bucket: Column | None = None,
+               rows_per_block: int = BLOCK_ROWS) -> DataFrame:
     """``indicator_panel`` with ``volume_price_trend``."""
-    return indicator_panel(candles, keys=keys, time=time, bucket=bucket, price_trend=True)
+    return indicator_panel(candles, keys=keys, time=time, bucket=bucket, price_trend=True,
+                           rows_per_block=rows_per_block)
 
 
 def chunk_local_panel(candles: DataFrame, chunk_rows: int, *, time: str = "timestamp") -> DataFrame:

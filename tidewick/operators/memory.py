@@ -50,15 +50,19 @@ RETIREMENT = {"default": (50000, 800, 24, 0.6), "conservative": (30000, 400, 24,
 
 
 def add_memories(rows: DataFrame) -> DataFrame:
-    """Complete (agent_id, content, memory_type, timestamp) rows; optional columns get defaults."""
+    """Complete (agent_id, content, memory_type, timestamp) rows; optional columns get defaults.
+
+    ``source_id`` tells rows apart that agree in agent, content and time, as moved memories can.
+    """
     has = set(rows.columns)
+    source = [F.col("source_id")] if "source_id" in has else []
     meta = F.col("metadata") if "metadata" in has else F.create_map().cast("map<string,string>")
     meta = F.map_filter(F.coalesce(meta, F.create_map().cast("map<string,string>")),
                         lambda k, _: k != "agent_id")
     importance = F.col("importance") if "importance" in has else F.lit(None).cast("double")
     tags = F.col("tags") if "tags" in has else F.lit(None).cast("array<string>")
     return rows.select(
-        F.md5(F.concat_ws("_", "agent_id", "content", F.col("timestamp").cast("string")))
+        F.md5(F.concat_ws("_", "agent_id", "content", F.col("timestamp").cast("string"), *source))
         .alias("id"),
         "agent_id", "content", "memory_type", "timestamp",
         F.coalesce(importance, F.lit(0.5)).alias("importance"),
@@ -203,7 +207,7 @@ def transfer_memories(items: DataFrame, successors: DataFrame, as_of: Column) ->
     """
     top = top_important(items, 100).filter(F.col("importance") > 0.6)
     moved = top.join(successors, "agent_id").select(
-        F.col("successor_id").alias("agent_id"), "content", "memory_type",
+        F.col("successor_id").alias("agent_id"), F.col("id").alias("source_id"), "content", "memory_type",
         as_of.alias("timestamp"), (F.col("importance") * 0.8).alias("importance"),
         F.array_append("tags", F.lit("transferred")).alias("tags"),
         F.map_concat(F.map_filter("metadata", lambda k, _: k != "transferred_from"),
@@ -214,7 +218,7 @@ def transfer_memories(items: DataFrame, successors: DataFrame, as_of: Column) ->
 def transfer_on_retire(items: DataFrame, successors: DataFrame, as_of: Column) -> DataFrame:
     """Top 50 by importance, unchanged."""
     moved = top_important(items, 50).join(successors, "agent_id").select(
-        F.col("successor_id").alias("agent_id"), "content", "memory_type",
+        F.col("successor_id").alias("agent_id"), F.col("id").alias("source_id"), "content", "memory_type",
         as_of.alias("timestamp"), "importance", "tags", "metadata")
     return add_memories(moved)
 

@@ -159,24 +159,27 @@ def add_memories(spark, sf):
         F.try_element_at("metadata", F.lit("agent_id")).alias("meta_agent"), "token_count")
 
 
-def _moved(k: int, factor: str, where: str) -> str:
+def _moved(k: int, factor: str, where: str, tags: str, origin: str) -> str:
     return S.with_(*_M, _rank("top", _IMPORTANT, k), select=f"""SELECT agent_id || '-next' AS agent_id, content, memory_type,
-      round(importance * {factor} + 1e-9, 6) AS importance, token_count FROM top {where}""")
+      md5(agent_id || '-next_' || content || '_2024-02-01 00:00:00_' || id) AS id, {tags} AS tags, signal, CAST(pnl AS VARCHAR) AS pnl, {origin} AS transferred_from,
+      agent_id || '-next' AS owner, round(importance * {factor} + 1e-9, 6) AS importance, token_count FROM top {where}""")
 
 
-_MOVED = ["agent_id", "content", "memory_type", "importance", "token_count"]
+_MOVED = ["agent_id", "content", "memory_type", "id", "array_join(tags, ',') AS tags", "metadata['signal'] AS signal",
+          "metadata['pnl'] AS pnl", "metadata['transferred_from'] AS transferred_from", "metadata['agent_id'] AS owner",
+          "importance", "token_count"]
 
 
-@query("transfer_memories", _moved(100, "0.8", "WHERE importance > 0.6"))
+@query("transfer_memories", _moved(100, "0.8", "WHERE importance > 0.6", "role || ',transferred'", "agent_id"))
 def transfer_memories(spark, sf):
     return mem.transfer_memories(t.memory_items(spark, sf), t.successors(spark, sf),
-                                 t.memory_as_of()).select(_MOVED)
+                                 t.memory_as_of()).selectExpr(*_MOVED)
 
 
-@query("transfer_on_retire", _moved(50, "1.0", ""))
+@query("transfer_on_retire", _moved(50, "1.0", "", "role", "CAST(NULL AS VARCHAR)"))
 def transfer_on_retire(spark, sf):
     return mem.transfer_on_retire(t.memory_items(spark, sf), t.successors(spark, sf),
-                                  t.memory_as_of()).select(_MOVED)
+                                  t.memory_as_of()).selectExpr(*_MOVED)
 
 
 @query("retention", S.with_(*_M, select="""SELECT id, agent_id FROM items

@@ -67,6 +67,24 @@ def indicator_panel(spark, sf):
     return ind.full_panel(t.candles(spark, sf)).select(*KEY, "pos", *ind.OUTPUT, _vpt())
 
 
+_SMALL = 512
+_EDGE = ["change_4h", "sma_200", "ema_200", "macd", "macd_signal", "rsi", "bb_width", "atr", "volatility", "price_vs_resistance"]
+
+
+@query("indicator_panel_blocks", S.minutely(f"""SELECT symbol, timestamp, pos, {S.r6(*_EDGE)},
+  round(volume_price_trend, 1) AS volume_price_trend FROM panel"""))
+def indicator_panel_blocks(spark, sf):
+    """Minute bars in blocks of 512 rows and hourly buckets, so that every series crosses block edges."""
+    bucket = F.date_trunc("hour", "timestamp")
+    return ind.full_panel(t.candles(spark, sf, "1Min"), rows_per_block=_SMALL, bucket=bucket).select(
+        *KEY, "pos", *_EDGE, _vpt())
+
+
+@query("volume_price_trend_blocks", S.minutely("SELECT symbol, timestamp, round(volume_price_trend, 1) AS volume_price_trend FROM panel"))
+def volume_price_trend_blocks(spark, sf):
+    return ind.volume_price_trend(t.candles(spark, sf, "1Min"), rows_per_block=_SMALL).select(*KEY, _vpt())
+
+
 @query("flagship", S.hourly(f"""SELECT symbol, timestamp, close, volume,
   {S.r6('change_1m', 'sma_20', 'rsi')} FROM panel"""))
 def flagship(spark, sf):

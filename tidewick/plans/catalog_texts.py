@@ -53,11 +53,13 @@ def _not_null(template: str, *but: str) -> str:
 
 
 def _text_query(name: str, template: str, defaults=None) -> None:
-    where = "" if defaults else "WHERE " + _not_null(template)
+    text = _sql_text(template, defaults)
+    if not defaults:  # a text with a missing value is NULL, as a row
+        text = f"CASE WHEN {_not_null(template)} THEN {text} END"
 
-    @query(name, S.hourly(f"SELECT symbol, timestamp, {_sql_text(template, defaults)} AS text FROM tx {where}", *_LAB, _TX)
+    @query(name, S.hourly(f"SELECT symbol, timestamp, {text} AS text FROM tx", *_LAB, _TX)
            if "{position_size" not in template else S.hourly(
-        f"SELECT symbol, timestamp, {_sql_text(template, defaults)} AS text FROM txf {where}",
+        f"SELECT symbol, timestamp, {text} AS text FROM txf",
         *_LAB, _TX, """txf AS (SELECT *, '0.5-1%' AS position_size, '3-5%' AS take_profit,
           printf('%.1f%%', stop_pct + 1e-7) AS stop_loss FROM tx)"""))
     def run(spark, sf):
@@ -65,7 +67,7 @@ def _text_query(name: str, template: str, defaults=None) -> None:
         df = df.withColumn("stop_loss", F.format_string("%.1f%%", F.col("_stop_pct") + 1e-7))
         return df.select(*KEY, tx.render(template, texts.flat_columns(df) | {
             x: F.col(x) for x in ("position_size", "stop_loss", "take_profit")}, defaults or {})
-            .alias("text")).filter("text IS NOT NULL")
+            .alias("text"))
 
 
 _text_query("render_sft_text", tx.SFT_TEXT, tx.TEXT_DEFAULTS)
