@@ -70,8 +70,10 @@ def _by_step(step: Column, per_type: dict[str, Column], otherwise) -> Column:
     return ladder([(step == t, v) for t, v in per_type.items()], otherwise)
 
 
-def step_quality(step: Column, content: Column, criteria: int = CRITERIA) -> Column:
-    low = F.lower(content)
+def step_quality(step: Column, content: Column, criteria: int = CRITERIA, *,
+                 low: Column | None = None) -> Column:
+    """``low`` is the lower-case content, here and below, where the caller has it already."""
+    low = F.lower(content) if low is None else low
 
     def points(kind: str) -> Column:
         hits = [_any(low, words) for words in QUALITY_WORDS[kind]]
@@ -84,8 +86,9 @@ def step_quality(step: Column, content: Column, criteria: int = CRITERIA) -> Col
 
 
 def step_correctness(step: Column, content: Column, *, rsi: Column, change_24h: Column,
-                     volatility: Column, fear_greed: Column, outcome: Column) -> Column:
-    low = F.lower(content)
+                     volatility: Column, fear_greed: Column, outcome: Column,
+                     low: Column | None = None) -> Column:
+    low = F.lower(content) if low is None else low
     rsi, change = F.coalesce(rsi, F.lit(50.0)), F.coalesce(change_24h, F.lit(0.0))
     vol, mood = F.coalesce(volatility, F.lit(0.02)), F.coalesce(fear_greed, F.lit("Neutral"))
     over, under = low.contains("overbought"), low.contains("oversold")
@@ -113,8 +116,9 @@ def base_reward(correct: Column, confidence: Column) -> Column:
         F.lit(INCORRECT) + F.when(confidence < 0.3, CAUTIOUS_INCORRECT).otherwise(0.0))
 
 
-def step_specific_reward(step: Column, content: Column, quality: Column) -> Column:
-    low = F.lower(content)
+def step_specific_reward(step: Column, content: Column, quality: Column, *,
+                         low: Column | None = None) -> Column:
+    low = F.lower(content) if low is None else low
     bonus = {k: total([F.when(_any(low, words), amount).otherwise(0.0) for words, amount in rules])
              for k, rules in STEP_BONUS.items()}
     return _by_step(step, bonus, 0.0) + quality * QUALITY_BONUS
@@ -125,8 +129,9 @@ def outcome_reward(outcome: Column) -> Column:
                    (F.abs(outcome) < 0.01, AVOIDED)], 0.0)
 
 
-def step_feedback(step: Column, content: Column, quality: Column, correct: Column) -> Column:
-    low = F.lower(content)
+def step_feedback(step: Column, content: Column, quality: Column, correct: Column, *,
+                  low: Column | None = None) -> Column:
+    low = F.lower(content) if low is None else low
     hints = [_by_step(step, {k: F.when(~_any(low, rules[i][0]), rules[i][1])
                              for k, rules in HINTS.items()}, F.lit(None).cast("string"))
              for i in range(2)]
@@ -138,21 +143,22 @@ def step_feedback(step: Column, content: Column, quality: Column, correct: Colum
 
 def evaluate_steps(steps: DataFrame) -> DataFrame:
     """Needs step_type, content, confidence, the market columns and ``outcome``."""
-    step, content = F.col("step_type"), F.col("content")
-    df = steps.withColumns({
-        "quality_score": step_quality(step, content),
+    step, content, low = F.col("step_type"), F.col("content"), F.col("_low")
+    df = steps.withColumn("_low", F.lower(content)).withColumns({
+        "quality_score": step_quality(step, content, low=low),
         "correctness": step_correctness(
             step, content, rsi=F.col("rsi"), change_24h=F.col("change_24h"),
             volatility=F.col("volatility"), fear_greed=F.col("fear_greed"),
-            outcome=F.col("outcome")),
+            outcome=F.col("outcome"), low=low),
     })
     df = df.withColumns({
         "base_reward": base_reward(F.col("correctness"), F.col("confidence")),
-        "step_reward": step_specific_reward(step, content, F.col("quality_score")),
+        "step_reward": step_specific_reward(step, content, F.col("quality_score"), low=low),
         "outcome_reward": outcome_reward(F.col("outcome")),
-        "feedback": step_feedback(step, content, F.col("quality_score"), F.col("correctness")),
+        "feedback": step_feedback(step, content, F.col("quality_score"), F.col("correctness"),
+                                  low=low),
     })
-    return df.withColumn("reward", F.col("base_reward") + F.col("step_reward")
+    return df.drop("_low").withColumn("reward", F.col("base_reward") + F.col("step_reward")
                          + F.col("outcome_reward"))
 
 
@@ -180,14 +186,14 @@ def explode_steps(decisions: DataFrame, *parent: str) -> DataFrame:
     return rows.filter(F.col("_s").isNotNull()).select(*parent, "step_no", "_s.*")
 
 
-def step_accuracy(evaluated: DataFrame, decision: str = "decision_id") -> DataFrame:
+def step_accuracy(evaluated: DataFrame) -> DataFrame:
     """Mean correctness per step type, and average reward per decision over all steps.
 
-    One rollup pass gives both; its total row is then spread over the few step types.
+    Decisions are counted by their first step (``step_no`` 0). One rollup pass gives both; its total row is then spread over the few step types.
     """
     t = evaluated.rollup("step_type").agg(
         F.avg(F.col("correctness").cast("int")).alias("accuracy"),
-        (F.sum("reward") / F.count_distinct(decision)).alias("_per_decision"),
+        (F.sum("reward") / F.count_if(F.col("step_no") == 0)).alias("_per_decision"),
         F.grouping("step_type").alias("_total"))
     overall = F.max(F.when(F.col("_total") == 1, F.col("_per_decision"))).over(
         Window.partitionBy())

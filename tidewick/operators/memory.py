@@ -88,12 +88,15 @@ def top_recent(items: DataFrame, limit: int = RECENT) -> DataFrame:
     return _ranked(items, limit, F.col("timestamp").desc())
 
 
-def cosine(a: Column, b: Column) -> Column:
-    def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")),
-                           F.lit(0.0), lambda acc, v: acc + v)
+def _dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
 
-    return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+
+def unit(vector: Column) -> Column:
+    """The vector at length one, in doubles; NULL for the zero vector."""
+    x = F.transform(vector, lambda v: v.cast("double"))
+    length = F.sqrt(F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v * v))
+    return F.when(length > 0, F.transform(x, lambda v: v / length))
 
 
 def semantic_topk(items: DataFrame, queries: DataFrame, k: int = IMPORTANT, *,
@@ -101,12 +104,13 @@ def semantic_topk(items: DataFrame, queries: DataFrame, k: int = IMPORTANT, *,
     """The k items of the query's agent nearest by cosine, per query.
 
     ``queries`` is (query_id, agent_id, query). It is written first, so the join is a broadcast only
-    at a known small size and otherwise a shuffle join that splits skewed agents. Each item meets only
-    its own agent's queries, and the top k is cut per task before the ranking shuffle. ``decimals``
+    at a known small size and otherwise a shuffle join that splits skewed agents. Vectors are brought to
+    length one before they meet. Each item meets only its own agent's queries, and the top k is cut per task before the ranking shuffle. ``decimals``
     rounds the score before ranking.
     """
-    pairs = items.join(written(queries, "queries"), "agent_id")
-    score = cosine(F.col("embedding"), F.col("query"))
+    queries = queries.select("query_id", "agent_id", unit(F.col("query")).alias("_q"))
+    pairs = items.withColumn("_u", unit(F.col("embedding"))).join(written(queries, "queries"), "agent_id")
+    score = _dot(F.col("_u"), F.col("_q"))
     pairs = pairs.withColumn("score", score if decimals is None else F.round(score, decimals))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
     return (pairs.select("query_id", "agent_id", "id", "score")

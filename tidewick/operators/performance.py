@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewick.functions.numeric import ladder, ratio, round_to
-from tidewick.operators.series import block_window, blocked
+from tidewick.operators.series import block_window, blocked, running_total
+from tidewick.session import written
 
 
 # --- data-set statistics -------------------------------------------------------------------------
@@ -19,9 +20,24 @@ def signal_distribution(samples: DataFrame) -> DataFrame:
 
 
 def confidence_stats(samples: DataFrame) -> DataFrame:
+    """Least, largest, mean and exact median, from counts of the distinct values.
+
+    The counts are written once and cumulated over ranges of a hundredth, so no task sees all values.
+    """
     x = F.col("confidence")
-    return samples.agg(F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"),
-                       F.median(x).alias("median"))
+    counts = written(samples.filter(x.isNotNull()).groupBy(x.alias("value")).agg(F.count(F.lit(1)).alias("n")),
+                     "value-counts")
+    value, n = F.col("value"), F.col("n")
+    upto = running_total(counts.withColumn("_all", F.lit(0)), ["_all"], ["value"], {"upto": n},
+                         bucket=F.floor(value * 100))
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((F.col("upto") >= place) & (F.col("upto") - n < place), value))
+
+    upto = upto.withColumn("_rows", counts.agg(F.sum("n")).scalar())
+    middle = (at(F.floor((F.col("_rows") + 1) / 2)) + at(F.floor((F.col("_rows") + 2) / 2))) / 2
+    return upto.agg(F.min(value).alias("min"), F.max(value).alias("max"),
+                    (F.sum(value * n) / F.sum(n)).alias("mean"), middle.alias("median"))
 
 
 def indicator_ranges(rows: DataFrame, columns=("rsi", "macd", "close", "volume")) -> DataFrame:

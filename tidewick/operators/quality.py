@@ -124,12 +124,12 @@ def coerce_numeric_strings(df: DataFrame) -> DataFrame:
     return df.withColumns({x: F.col(x).try_cast("double") for x in numeric}) if numeric else df
 
 
-def low_cardinality_columns(df: DataFrame, share: float = 0.5, *, exact: bool = True
+def low_cardinality_columns(df: DataFrame, share: float = 0.5, *, exact: bool = False
                             ) -> DataFrame:
     """(column, rows, distinct, low_cardinality) per string column.
 
-    Exact counts go over md5 digests, so long texts are not shuffled; ``exact=False`` uses one
-    approximate pass, the choice for wide tables.
+    One approximate pass by default; ``exact`` counts go over md5 digests, so that long texts are not
+    shuffled, but every row meets the shuffle once for each column.
     """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 

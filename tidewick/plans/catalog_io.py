@@ -280,7 +280,7 @@ def numeric_string_columns(spark, sf):
     f"""SELECT '{c}' AS "column", count(*) AS rows, count(DISTINCT {c}) AS "distinct", count(DISTINCT {c}) / count(*) < 0.5 AS low_cardinality FROM documents"""
     for c in ("text", "lang", "source")))
 def low_cardinality_columns(spark, sf):
-    return quality.low_cardinality_columns(t.read(spark, sf, "documents"))
+    return quality.low_cardinality_columns(t.read(spark, sf, "documents"), exact=True)
 
 
 @query("stringify_all", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority FROM orders")
