@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def bar_files(spark, tmp_path_factory):
     """Hourly bars as four files that each mix all times."""
-    path = str(tmp_path_factory.mktemp("bars"))
+    path = str(tmp_path_factory.mktemp("bars") / "files")
     bars = t.bars(spark, SF)
     bars.repartition(4, F.xxhash64("symbol", "timestamp")).write.parquet(path)
     return path
