@@ -183,9 +183,10 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(~held_out()).groupBy("doc_id").agg(
         (F.avg("quality") >= 0.5).alias("good"))
     known = kept(stats.filter(~failed).join(known, "doc_id"), "rule-labelled")
-    draw = F.xxhash64("doc_id", F.lit("forest"))
-    rows = known.filter("good").select("doc_id", *STATS).orderBy(draw, *STATS).limit(TREES * ROWS).collect()
-    x = np.array([tuple(r)[1:] for r in rows], float).reshape(-1, len(STATS))
+    good = known.filter("good").withColumn("draw", F.xxhash64("doc_id", F.lit("forest")))
+    share = min(1.0, TREES * ROWS / max(1, good.count()))  # about TREES * ROWS rows, whatever there are
+    rows = good.filter(F.pmod("draw", F.lit(1 << 30)) < int(share * (1 << 30))).select("draw", *STATS).collect()
+    x = np.array([tuple(r)[1:] for r in sorted(rows)], float).reshape(-1, len(STATS))
     order = np.random.default_rng(11)
     samples = [x[order.choice(len(x), min(ROWS, len(x)), replace=False)] for _ in range(TREES)] if len(x) else []
     forest = grow(samples) if samples else None
