@@ -71,12 +71,13 @@ def matches(texts: DataFrame, known: DataFrame, least: float = LEAST) -> DataFra
     texts = kept(texts.select("file", "text").dropDuplicates(["file"]), "licence-texts")
     total = F.lit(float(texts.count()))
     terms = kept(_terms(texts, "file", "text"), "licence-terms")
-    df = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # Written, so that the planner knows their size: the templates' terms are few.
+    df = kept(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "licence-rarity")
     rarity = F.log((total + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0
     weighted = terms.join(df, "term").select("file", "term", (F.col("n") * rarity).alias("w"))
     length = weighted.groupBy("file").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    own = _terms(known, "template", "text").join(df, "term", "left").select(
-        "template", "term", (F.col("n") * rarity).alias("v"))
+    own = kept(_terms(known, "template", "text").join(df, "term", "left").select(
+        "template", "term", (F.col("n") * rarity).alias("v")), "licence-templates")
     norm = own.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
     dots = weighted.join(own, "term").groupBy("file", "template").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
     scored = dots.join(length, "file").join(norm, "template").select(
