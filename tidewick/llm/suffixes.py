@@ -187,9 +187,10 @@ def repeated_bytes(docs: DataFrame, depth: int = 400) -> DataFrame:
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {_SCAN}"
     scan = kept(rows.mapInArrow(_scan(depth), schema), "suffix-scan")
 
-    # Pass 1: by token.
-    counts = scan.select(F.explode("tokens").alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
+    # Pass 1: by token. What a join only looks up is a table of its own: both sides are then dealt out for
+    # the join, and adaptive execution can split a token that very many rows have.
+    counts = kept(scan.select(F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n")).filter("n > 1").select("token"), "suffix-tokens")
     places = scan.select("_key", F.explode(F.arrays_zip("tokens", "at")).alias("p")).select(
         "_key", F.col("p.tokens").alias("token"), F.col("p.at").alias("at"))
     by_text = places.join(counts, "token").groupBy("_key").agg(F.collect_set("at").alias("at"))
@@ -206,8 +207,8 @@ def repeated_bytes(docs: DataFrame, depth: int = 400) -> DataFrame:
         "_key", "lo", (F.col("hi") + depth).alias("hi")), "suffix-whole")
 
     # Pass 3: by runs of suffixes, only where a stretch that is alone shares its token.
-    mixed = kinds.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).filter(
-        "m > 1 AND least = 1").select("token")
+    mixed = kept(kinds.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).filter(
+        "m > 1 AND least = 1").select("token"), "suffix-mixed")
     todo = kinds.join(mixed, "token").groupBy(F.col("p._key").alias("_key")).agg(
         F.collect_list(F.struct("p.lo", "p.hi", "p.at", "token", (F.col("n") == 1).alias("alone"))).alias("s"))
     parts = texts.select("_key", "text").join(todo, "_key").select(
@@ -222,16 +223,16 @@ def repeated_bytes(docs: DataFrame, depth: int = 400) -> DataFrame:
     several = kept(several, "suffix-several")
 
     # Pass 4: by all the bytes, where runs agree in their core alone.
-    torn = groups.groupBy("token", "run", "core").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).filter(
-        "m > 1 AND least = 1").select("token", "run", "core")
+    torn = kept(groups.groupBy("token", "run", "core").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
+                .filter("m > 1 AND least = 1").select("token", "run", "core"), "suffix-torn")
     todo = groups.join(torn, ["token", "run", "core"]).groupBy(F.col("p._key").alias("_key")).agg(
         F.collect_list(F.struct("p.lo", "p.hi", "p.at", "token", (F.col("n") == 1).alias("alone"))).alias("s"))
     opened = texts.select("_key", "text").join(todo, "_key").select(
         "_key", "text", *[F.col(f"s.{c}").alias(c) for c in ("lo", "hi", "at", "token", "alone")])
     opened = kept(opened.mapInArrow(_opened(depth), "_key long, token long, lo int, alone boolean, "
                                                     "digits array<long>"), "suffix-digits")
-    found = opened.select("token", "alone", F.explode("digits").alias("digit")).groupBy("token", "digit").agg(
-        weight).filter("n > 1").select("token", "digit")
+    found = kept(opened.select("token", "alone", F.explode("digits").alias("digit")).groupBy("token", "digit").agg(
+        weight).filter("n > 1").select("token", "digit"), "suffix-found")
     start = F.col("lo") + F.col("i")
     single = opened.filter("alone").select("_key", "token", "lo", F.posexplode("digits").alias("i", "digit")).join(
         found, ["token", "digit"]).select("_key", start.alias("lo"), (start + depth).alias("hi"))
