@@ -199,7 +199,9 @@ def repeated_phrases(docs: DataFrame, window: int = 20) -> DataFrame:
     scan = kept(rows.mapInArrow(_scan(window), schema), "phrase-scan")
 
     gram = F.explode("grams").alias("gram")
-    counts = scan.select(gram).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    # A table of its own, so that the join below deals out both sides and a hot shingle can be split.
+    counts = kept(scan.select(gram).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"),
+                  "phrase-shingles")
     places = scan.select("_key", F.explode(F.arrays_zip("grams", "at")).alias("p")).select(
         "_key", F.col("p.grams").alias("gram"), F.col("p.at").alias("at"))
     by_text = places.join(counts, "gram").groupBy("_key").agg(F.collect_set("at").alias("at"))
@@ -211,6 +213,7 @@ def repeated_phrases(docs: DataFrame, window: int = 20) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(F.struct("_id", "lo", "_key", "hi")).alias("first")), "phrase-passages")
     shared = passages.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n")).filter(
         "m > 1 OR n > 1").select("gram", F.expr(f"int(1 + m div {PASSAGES_PER_TASK})").alias("parts"))
+    shared = kept(shared, "phrase-shared")
     confirmed = passages.join(shared, "gram")
     place = F.struct("first.lo", "first.hi", "gram", "parts")
     to_shards = routed.select("_key", "_id", "text").join(
