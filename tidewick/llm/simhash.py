@@ -147,7 +147,8 @@ def _keys():
 def links(prints: DataFrame) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints at most ``DIFFER`` bits apart."""
     posted = prints.select("print", F.explode(_keys()).alias("key"))
-    counts = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # A table of its own, so that the join below deals out both sides and a hot key can be split.
+    counts = kept(posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "fingerprint-keys")
     parts = F.expr(f"int(1 + (n - 1) div {BLOCK})")
     met = posted.join(counts.select("key", parts.alias("parts")), "key")
     own = F.when(F.col("parts") == 1, F.lit(0)).otherwise(
