@@ -30,7 +30,7 @@ GROUP = 8192
 #: Branches a group may open beyond one for each sequence.
 BRANCHES = 2000
 #: Words whose ids a worker remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 _CODERS: dict[str, Coder] = {}
 
 #: Pre-tokenizers that keep runs of letters, single digits and runs of other signs apart, and drop space.

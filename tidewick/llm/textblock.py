@@ -1,6 +1,6 @@
 """Vectorised words and rolling hashes over a block of texts; runs inside Spark tasks.
 
-A block holds about two megabytes of UTF-8 text (or one longer document), so memory per task does not
+A block holds about one megabyte of UTF-8 text (or one longer document), so memory per task does not
 depend on the size of a partition. Words are the runs of bytes other than 0x20 and 0x09-0x0D.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
