@@ -125,6 +125,29 @@ def test_leaks_recall(spark):
     assert decontamination.leaks(frame(spark, rows), bench.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("script", ["words"])
+@pytest.mark.parametrize("rate", [0.0, 0.1, 0.15, 0.2])
+def test_leaks_recall_up_to_all_edits(spark, script, rate):
+    rng = random.Random(f"{script} {rate}")
+    letters = [chr(c) for c in range(0x4E00, 0x5200)] if script == "unspaced" else "etaoinshrdlu"
+
+    def prose(n):
+        gap = {"words": 5, "long words": 60, "unspaced": 10 ** 6}[script]
+        return "".join(" " if i % gap == gap - 1 else rng.choice(letters) for i in range(n))
+
+    sizes = (7, 20, 30, 45, 60, 80, 99, 100, 150, 300)
+    items = [(n, prose(sizes[n % 10]).strip()) for n in range(120)]
+    hosts = [(n, prose(400) + edited(x, rate, rng) + prose(400)) for n, x in items]
+    least = {n: decontamination.edit_distance_in(x, " ".join(t.split()), len(x) // 5)[0] for (n, x), (_, t) in zip(items, hosts)}
+    held = {n for n, x in items if least[n] <= len(x) // 5}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r.edits for r in decontamination.leaks(frame(spark, hosts), bench).filter("doc_id = item_id").collect()}
+    assert set(got) <= held and all(got[n] == least[n] for n in got)
+    short = {n for n in held if len(items[n][1]) < 100}
+    assert short <= set(got)
+    assert len(held) >= 50 and len(set(got) - short) >= 0.9 * len(held - short)
+
+
 def test_leaks_query_finds_all_exact_passages(spark):
     rows = [(r.doc_id, " ".join(r.text.lower().split())) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     items = [(r.item_id, " ".join(r.text.lower().split())) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

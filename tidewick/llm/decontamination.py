@@ -1,15 +1,17 @@
-"""Benchmark passages in documents, by CGK embedding and bit-sampling.
-
-The CGK embedding walks through a text with a pointer that stays or moves on at each step, as a random
-function of the step and the byte says. After an edit the walks of two texts meet again, so that they
-agree in most steps, and edit distance becomes Hamming distance. Windows have the size of items, in
-classes: every word of an item starts windows of all classes that fit into the rest of it, and in a
-document the least of each few neighbouring words does, so that even the shortest item is met.
-From each walk and class several keys are sampled at random steps; a document's window with the key of
-an item's window is a candidate. Candidates are aligned with the whole item and verified by exact edit
-distance.
-
-The items' keys are sent to the tasks. The benchmark is taken in blocks of a bounded size, one pass over
+"""Benchmark passages in documents, by seeds, edits of pieces, and exact edit distance.
+
+An item with at most 20 % edits keeps runs of characters unchanged. In documents every character starts a
+window, so words, their lengths and scripts do not matter.
+
+- An item of fewer than 100 characters is cut into pieces of up to 32, which share its edits: if the item is
+  held, some piece is within its own share, and of the piece's parts, one more than its edits, one is
+  unchanged. These parts are the seeds, so no such item is missed.
+- In a longer item any 8 characters are a seed. Of its pieces, those around a seed may have 30 % edits.
+
+Pieces around seeds are compared with the text for all seeds of a block at once (Myers' bit vectors); where one
+is near, the whole item is verified by exact edit distance.
+
+The items' seeds are sent to the tasks. The benchmark is taken in blocks of a bounded size, one pass over
 the documents for each block, so their size is bounded whatever the benchmark's. Nothing is shuffled.
 """
 
@@ -21,138 +23,216 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewick.llm.textblock import Block, blocks, mixed, selected
+from tidewick.llm.textblock import blocks
 
-#: Independent walks, keys of each walk and class, and steps sampled into a key.
-WALKS, KEYS, SAMPLED = 1, 8, 14
-#: Sizes of windows in bytes. A walk moves on in half of its steps; the last fifth of a window is not sampled.
-SIZES = (40, 80)
-#: A document's window of each size starts at the least of so many neighbouring words, by hash.
-STARTS = (6, 12)
 #: Part of an item's characters that may be edited.
 EDITS = 0.2
+#: Windows of items: characters of a piece, and of an item from which on any run of SEED characters is a seed.
+PIECE, LONG, SEED = 32, 100, 8
+#: Part of a piece of a long item that may be edited: edits are not spread evenly over an item.
+PIECE_EDITS = 0.3
+#: Bits of a character that seeds and pieces compare; what differs in others only is told apart by the last check.
+BITS = 7
+#: Candidates compared at once.
+AT_ONCE = 1 << 13
+#: Matches of seeds taken together, about.
+MATCHES = 1 << 20
+#: Places of an alignment that are looked at together.
+BAND = 8
 #: Bytes of items that one pass looks for.
-ITEM_BYTES = 4 << 20
-
-
-class Sampler:
-    """Walks and sampled steps: the same for items and documents."""
-
-    def __init__(self, seed: int = 5):
-        rng = np.random.default_rng(seed)
-        self.lengths = [int(1.6 * s) for s in SIZES]
-        self.flips = rng.integers(0, 2, (WALKS, self.lengths[-1], 256)).astype(np.int64)
-        steps = {(w, c): np.sort(np.stack([rng.choice(n, SAMPLED, replace=False) for _ in range(KEYS)]), axis=1)
-                 for w in range(WALKS) for c, n in enumerate(self.lengths)}
-        #: (walk, class, step) -> (key, what a byte seen there adds to it)
-        self.adds: dict[tuple, list] = {}
-        for (w, c), rows in steps.items():
-            for k, row in enumerate(rows.tolist()):
-                for step in row:
-                    self.adds.setdefault((w, c, step), []).append((k, rng.integers(0, 1 << 63, 256, dtype=np.uint64)))
-
-    def keys(self, data: np.ndarray, starts: list[np.ndarray], ends: list[np.ndarray]
-             ) -> Iterator[tuple[np.ndarray, int]]:
-        """(keys of all windows, class) for each walk, class and sampling.
-
-        ``starts`` and ``ends`` have the windows of each class; ``data[end]`` stands for all that follows.
-        """
-        data = data.astype(np.intp)
-        for w in range(WALKS):
-            for c, (start, end) in enumerate(zip(starts, ends)):
-                sums = np.zeros((KEYS, len(start)), np.uint64)
-                at = start.astype(np.intp)
-                for step in range(self.lengths[c]):
-                    seen = data.take(at)
-                    for k, add in self.adds.get((w, c, step), ()):
-                        sums[k] += add.take(seen)
-                    at += self.flips[w, step].take(seen)
-                    np.minimum(at, end, out=at)
-                for k in range(KEYS):
-                    yield mixed(sums[k] + np.uint64(1 + k + KEYS * (c + 8 * w))), c
+ITEM_BYTES = 1 << 20
 
 
 def _normal(text: bytes | None) -> bytes:
     return b" ".join((text or b"").lower().split())
 
 
+def _symbols(text: str) -> np.ndarray:
+    return (np.frombuffer(text.encode("utf-32-le"), np.uint32) & ((1 << BITS) - 1)).astype(np.uint8)
+
+
+def _grams(symbols: np.ndarray) -> np.ndarray:
+    """The SEED symbols from each place on as one number, the first in the lowest bits."""
+    grams, width = np.concatenate((symbols, np.zeros(SEED - 1, np.uint8))).astype(np.uint64), 1
+    while width < SEED:
+        grams, width = grams[:-width] | (grams[width:] << np.uint64(BITS * width)), 2 * width
+    return grams
+
+
+def _part(grams: np.ndarray, size: int) -> np.ndarray:
+    return grams & np.uint64((1 << BITS * size) - 1)
+
+
+def _slot(grams: np.ndarray, bits: int) -> np.ndarray:
+    return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).view(np.int64)
+
+
+class Seeds:
+    """Seeds of a block of items, and the pieces of items around them."""
+
+    def __init__(self, texts: list[str]):
+        self.size, self.most, self.item, self.offset, peq = [], [], [], [], []
+        found: dict[int, list[np.ndarray]] = {}
+        for i, text in enumerate(texts):
+            n, symbols = len(text), _symbols(text)
+            if n == 0:
+                continue
+            grams, first, k = _grams(symbols), len(self.size), int(EDITS * n)
+            if n < LONG:
+                parts = -(-n // PIECE)
+                cut = [n * x // parts for x in range(parts + 1)]
+                pieces = [(a, b, k * (b - a) // n) for a, b in zip(cut, cut[1:])]
+            else:
+                pieces = [(min(a, n - PIECE), min(a, n - PIECE) + PIECE, int(PIECE_EDITS * PIECE))
+                          for a in range(0, n, PIECE // 2) if a < n - PIECE // 2]
+            for a, b, e in pieces:
+                row = np.zeros(1 << BITS, np.uint32)
+                np.bitwise_or.at(row, symbols[a:b], np.uint32(1) << np.arange(b - a, dtype=np.uint32))
+                peq.append(row)
+                self.size.append(b - a), self.most.append(e), self.item.append(i), self.offset.append(a)
+            if n < LONG:
+                for p, (a, b, e) in enumerate(pieces, first):
+                    cut = [a + (b - a) * x // (e + 1) for x in range(e + 2)]
+                    for x, y in zip(cut, cut[1:]):
+                        size = min(SEED, y - x)
+                        found.setdefault(size, []).append(np.array([[int(_part(grams[x:x + 1], size)[0]), p, x - a]], np.int64))
+            else:
+                x = np.arange(n - SEED + 1)
+                p = np.minimum(np.maximum(0, x + SEED // 2 - PIECE // 4) // (PIECE // 2), len(pieces) - 1)
+                found.setdefault(SEED, []).append(np.stack(
+                    [grams[x].view(np.int64), first + p, x - np.array([a for a, _, _ in pieces])[p]], axis=1))
+        self.size, self.most, self.item, self.offset = (
+            np.array(x, np.int64) for x in (self.size, self.most, self.item, self.offset))
+        self.peq = np.stack(peq) if peq else np.zeros((0, 1 << BITS), np.uint32)
+        #: size of a seed -> (bits of a hash, which hashes occur, keys in order, first row of each, pieces, places in them)
+        self.tables = {}
+        for size, rows in found.items():
+            table = np.concatenate(rows)
+            table = table[np.argsort(table[:, 0], kind="stable")]
+            keys, first = np.unique(table[:, 0].astype(np.uint64), return_index=True)
+            bits = max(16, (16 * len(keys)).bit_length())
+            maybe = np.zeros(1 << bits, bool)
+            maybe[_slot(keys, bits)] = True
+            self.tables[size] = bits, maybe, keys, np.append(first, len(table)), table[:, 1], table[:, 2]
+
+    def hits(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, piece, where it should begin) of the pieces whose edits around a seed are few enough.
+
+        ``starts`` has the first character of each text.
+        """
+        n = len(symbols)
+        grams, out = _grams(symbols), [(np.zeros(0, np.int64),) * 3]
+        for size, (bits, maybe, keys, first, pieces, places) in self.tables.items():
+            gram = _part(grams, size)
+            at = np.flatnonzero(maybe.take(_slot(gram, bits)))
+            key = np.searchsorted(keys, gram[at])
+            same = keys.take(key, mode="clip") == gram[at]
+            at, key = at[same], key[same]
+            many = first[key + 1] - first[key]
+            total = np.cumsum(many)
+            cut = np.flatnonzero(np.diff(total // MATCHES)) + 1
+            for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(at)]):
+                n = many[lo:hi]
+                row = np.repeat(first[key[lo:hi]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                place = np.repeat(at[lo:hi], n)
+                out += self._checked(symbols, np.searchsorted(starts, place, "right") - 1, pieces[row], place - places[row])
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def _checked(self, symbols: np.ndarray, doc: np.ndarray, piece: np.ndarray, begin: np.ndarray
+                 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        # Neighbouring seeds of one alignment are looked at once, with a slack of a band's width.
+        _, first = np.unique((piece << 44) + ((doc & 255) << 36) + (begin + PIECE) // BAND, return_index=True)
+        doc, piece, begin = doc[first], piece[first], begin[first]
+        order = np.argsort(self.size[piece] + 2 * self.most[piece], kind="stable")
+        for x in range(0, len(order), AT_ONCE):
+            part = order[x:x + AT_ONCE]
+            part = part[self._near(symbols, piece[part], begin[part])]
+            yield doc[part], piece[part], begin[part]
+
+    def _near(self, symbols: np.ndarray, piece: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Whether some part of the text around ``begin`` is within the edits of the piece (Myers' bit vectors)."""
+        size, most = self.size[piece], self.most[piece]
+        at = begin // BAND * BAND - most
+        steps = int((size + 2 * most).max()) + BAND
+        mask = ((np.int64(1) << size) - 1).astype(np.uint32)
+        top, one = (size - 1).astype(np.uint32), np.uint32(1)
+        pv, mv = mask, np.zeros(len(piece), np.uint32)
+        score = size.astype(np.int32)
+        best = score.copy()
+        peq, row = self.peq.ravel(), piece << BITS
+        for step in range(steps):
+            eq = peq.take(row + symbols.take(at + step, mode="clip"))
+            x = eq | mv
+            d = (((x & pv) + pv) ^ pv) | x
+            hn = pv & d
+            hp = mv | ~(pv | d)
+            score += ((hp >> top) & one).view(np.int32)
+            score -= ((hn >> top) & one).view(np.int32)
+            np.minimum(best, score, out=best)
+            hp <<= one
+            mv = hp & d
+            pv = (hn << one) | ~(hp | d)
+        return best <= most
+
+
 class Items:
-    """The keys of a block of items, ready for look-up."""
-
-    def __init__(self, items: list[tuple[int, bytes]], sampler: Sampler):
-        self.ids, self.texts = [i for i, _ in items], [_normal(t) for _, t in items]
-        block = Block(self.texts)
-        block.split()
-        start, doc = block.start.astype(np.int64), block.doc
-        room = block.begin[doc] + block.sizes[doc] - start
-        found = []
-        for keys, c in sampler.keys(block.bytes, [start] * len(SIZES), [start + room] * len(SIZES)):
-            fits = np.flatnonzero(room >= SIZES[c])
-            found.append(np.stack([keys[fits].view(np.int64), doc[fits], (start - block.begin[doc])[fits]], axis=1))
-        table = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
-        table = table[np.argsort(table[:, 0].view(np.uint64), kind="stable")]
-        self.keys, self.item, self.offset = table[:, 0].copy().view(np.uint64), table[:, 1], table[:, 2]
-        self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[self.keys >> np.uint64(42)] = True
-        self.short = [i for i, t in enumerate(self.texts) if 0 < len(t) < SIZES[0]]
-        self.chars = [len(t.decode()) for t in self.texts]
-
-    def candidates(self, block: Block, sampler: Sampler) -> set[tuple[int, int, int]]:
-        """(number of the text, item, byte of the text at which the item should start) of all windows with an item's key."""
-        hashes = block.word_hashes()
-        few = np.flatnonzero((block.n_words < max(STARTS))[block.doc])
-        words = [np.union1d(selected(hashes, block.first, 1, n), few) for n in STARTS]
-        starts, ends = [block.start[x].astype(np.int64) for x in words], []
-        for x in words:
-            ends.append((block.begin + block.sizes)[block.doc[x]])
-        out = set()
-        for keys, c in sampler.keys(block.bytes, starts, ends):
-            doc, start, end = block.doc[words[c]], starts[c], ends[c]
-            at = np.flatnonzero(self.maybe[keys >> np.uint64(42)] & (end - start >= SIZES[c] * (1 - EDITS)))
-            lo, hi = (np.searchsorted(self.keys, keys[at], side) for side in ("left", "right"))
-            for x, a, b in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-                begin = int(start[x] - block.begin[doc[x]])
-                out |= {(int(doc[x]), i, begin - o) for i, o in zip(self.item[a:b].tolist(), self.offset[a:b].tolist())}
-        for i in self.short:
-            for d, text in enumerate(block.texts):
-                if (p := text.find(self.texts[i])) >= 0:
-                    out.add((d, i, p))
-        return out
+    """A block of items, ready for look-up."""
+
+    def __init__(self, items: list[tuple[int, bytes]]):
+        self.ids, self.texts = [i for i, _ in items], [_normal(t).decode() for _, t in items]
+        self.seeds = Seeds(self.texts)
+
+    def candidates(self, texts: list[str]) -> set[tuple[int, int, int]]:
+        """(number of the text, item, character of the text at which the item should start), give or take the edits."""
+        first = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
+        doc, piece, begin = self.seeds.hits(_symbols("\n".join(texts) + "\n"), first[:-1])
+        begin = begin - first[doc] - self.seeds.offset[piece]
+        return set(zip(doc.tolist(), self.seeds.item[piece].tolist(), begin.tolist()))
 
 
 def edit_distance_in(item: str, text: str, most: int) -> tuple[int, int]:
     """(least edits that turn the item into some part of the text, end of that part); most + 1 if more."""
     if (p := text.find(item)) >= 0:
         return 0, p + len(item)
-    a, b = (np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in (item, text))
-    index = np.arange(len(b) + 1)
-    row = np.zeros(len(b) + 1, np.int64)
-    for n, c in enumerate(a, 1):
-        new = row + 1
-        new[1:] = np.minimum(new[1:], row[:-1] + (b != c))
-        new[0] = n
-        row = np.minimum.accumulate(new - index) + index
-        if row.min() > most:
-            return most + 1, 0
-    end = int(row.argmin())
-    return int(row[end]), end
-
-
-def _verified(items: Items, block: Block, found: set[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
-    """(text, item, edits, first byte looked at) of the candidates that hold the item, once for each place."""
-    done: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for d, i, begin in sorted(found):
-        size = len(items.texts[i])
-        most = int(EDITS * items.chars[i])
-        slack = most * 4 + 8
+    where: dict[str, int] = {}
+    for n, c in enumerate(item):
+        where[c] = where.get(c, 0) | 1 << n
+    mask, top = (1 << len(item)) - 1, 1 << len(item) - 1
+    pv, mv = mask, 0
+    score = best = len(item)
+    end = 0
+    for n, c in enumerate(text, 1):  # Myers' bit vectors, as long as the item
+        x = where.get(c, 0) | mv
+        d = ((((x & pv) + pv) ^ pv) | x) & mask
+        hn, hp = pv & d, mv | (mask & ~(pv | d))
+        score += (hp & top > 0) - (hn & top > 0)
+        if score < best:
+            best, end = score, n
+        hp = hp << 1 & mask
+        mv = hp & d
+        pv = hn << 1 & mask | mask & ~(hp | d)
+    return (best, end) if best <= most else (most + 1, 0)
+
+
+def _verified(items: Items, texts: list[str], found: set[tuple[int, int, int]]) -> dict[tuple[int, int], int]:
+    """(text, item) -> least edits, of the candidates that hold the item."""
+    best: dict[tuple[int, int], int] = {}
+    last = None
+    for d, i, begin in [*sorted(found), (-1, -1, 0)]:
+        if last is not None and (last[0], last[1]) == (d, i) and begin - slack <= hi:
+            hi = begin + size + slack
+            continue
+        if last is not None:
+            edits, _ = edit_distance_in(items.texts[last[1]], texts[last[0]][lo:hi], most)
+            if edits <= most:
+                best[last[:2]] = min(edits, best.get(last[:2], edits))
+        if d < 0:
+            break
+        last, size = (d, i), len(items.texts[i])
+        most = int(EDITS * size)
+        slack = most + BAND
         lo, hi = max(0, begin - slack), begin + size + slack
-        if any(a <= lo + slack and hi - slack <= b for a, b in done.get((d, i), ())):
-            continue  # looked at with the same alignment, give or take the slack
-        part = block.texts[d][lo:hi].decode(errors="ignore")
-        edits, _ = edit_distance_in(items.texts[i].decode(), part, most)
-        done.setdefault((d, i), []).append((lo, hi))
-        if edits <= most:
-            yield d, i, edits, lo
+    return best
 
 
 def _blocks_of_items(benchmark: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
@@ -172,10 +252,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, _row, item_id, edits, similarity) for every document and item that it holds nearly.
 
     An item is held if some part of the document is within 20 % of the item's characters in edits, white
-    space runs and the case of ASCII letters aside; the least number of edits of all places counts.
-    ``_row`` is a hash of (doc_id, text), so that rows without a doc_id can be told apart. Items of fewer
-    than 40 bytes must occur unchanged; empty or null items and texts match nothing. Repeated rows and
-    items give repeated results. No benchmark gives no rows; other columns are ignored.
+    space runs and the case of ASCII letters aside; the least number of edits of all places counts. An item of
+    fewer than 5 characters must occur unchanged.
+    ``_row`` is a hash of (doc_id, text), so that rows without a doc_id can be told apart. Empty or null items
+    and texts match nothing. Repeated rows and items give repeated results. No benchmark gives no rows; other columns are ignored.
     """
     kinds = [df.schema[c].dataType.simpleString() for df, c in ((docs, "doc_id"), (benchmark, "item_id"))]
     schema = f"doc_id {kinds[0]}, _row long, item_id {kinds[1]}, edits int, similarity double"
@@ -189,19 +269,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _finder(part: list[tuple[int, bytes]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler()
-        items = Items(part, sampler)
+        items = Items(part)
         for batch, block in blocks(batches):
-            block = Block([_normal(t) for t in block.texts])
-            block.split()
-            best: dict[tuple[int, int], int] = {}
-            for d, i, edits, _ in _verified(items, block, items.candidates(block, sampler)):
-                best[d, i] = min(edits, best.get((d, i), edits))
+            texts = [_normal(t).decode() for t in block.texts]
+            best = _verified(items, texts, items.candidates(texts))
             rows = pa.array([d for d, _ in best], pa.int64())
             yield pa.record_batch(
                 [batch.column("doc_id").take(rows), batch.column("_row").take(rows),
                  pa.array([items.ids[i] for _, i in best], pa.int64()), pa.array(list(best.values()), pa.int32()),
-                 pa.array([1.0 - e / items.chars[i] for (_, i), e in best.items()], pa.float64())],
+                 pa.array([1.0 - e / len(items.texts[i]) for (_, i), e in best.items()], pa.float64())],
                 ["doc_id", "_row", "item_id", "edits", "similarity"])
     return run
 
