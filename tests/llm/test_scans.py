@@ -125,7 +125,7 @@ def test_leaks_recall(spark):
     assert decontamination.leaks(frame(spark, rows), bench.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("script", ["words"])
+@pytest.mark.parametrize("script", ["words", "long words", "unspaced"])
 @pytest.mark.parametrize("rate", [0.0, 0.1, 0.15, 0.2])
 def test_leaks_recall_up_to_all_edits(spark, script, rate):
     rng = random.Random(f"{script} {rate}")
