@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -43,6 +44,25 @@ def test_phrases_spread_over_tasks(spark, monkeypatch):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == without_repeats(rows, 10)
 
 
+def test_phrases_hot_shingle_is_divided(spark, monkeypatch):
+    window, phrase = 10, [f"h{i}" for i in range(7)]
+    bodies = [[f"a{i}x{k}" for k in range(9)] + phrase + [f"b{i}x{k}" for k in range(9)] for i in range(30)]
+    rows = [(n, " ".join(bodies[n % 30] if n % 2 else bodies[n % 30][:13] + bodies[n % 7][13:])) for n in range(90)]
+    batch = pa.RecordBatch.from_pylist([
+        {"_key": n, "_id": n, "text": t, "passages": [{"lo": 6, "hi": 9, "gram": 5, "own": True, "parts": 40}]}
+        for n, t in rows])
+    got = [r for b in phrases._passages(window)(iter([batch])) for r in b.to_pylist()]
+    runs = {(n, o): " ".join(t.split()[o:o + window]).encode() for n, t in rows for o in range(6, 10)}
+    for kind in (0, 1):
+        assert sorted((r["_id"], r["lo"], r["words"]) for r in got if r["kind"] == kind) == sorted(
+            (*k, w) for k, w in runs.items())
+    assert len({(r["words"], r["part"]) for r in got}) == len({r["words"] for r in got})
+    assert len({r["part"] for r in got}) > 20
+    monkeypatch.setattr(phrases, "PASSAGES_PER_TASK", 4)
+    out = phrases.repeated_phrases(frame(spark, rows), window).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in out} == without_repeats(rows, window)
+
+
 def test_phrases_odd_rows(spark):
     long = " ".join(f"u{i}" for i in range(30))
     rows = [(1, long), (1, long), (None, long), (None, None), (2, "x " + long)]

@@ -11,14 +11,17 @@
    which compares real words and locates every occurrence. A located run that is not the first of its
    kind is removed; in a text that repeats a whole passage all its runs are.
 
-Nothing is kept per document but numbers and no group is collected. A shingle that very many passages
-share is spread over several tasks: its patterns are repeated in each and the passages are divided.
+Nothing is kept per document but numbers and no group is collected. The passages of a shingle that very
+many of them share are cut into single runs, which are dealt to parts by a hash of their words, patterns and
+streamed runs alike: equal runs meet in one part, and each part's automaton is bounded.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -29,11 +32,14 @@ from tidewick.llm.common import kept, kept_by, order_key, row_key
 from tidewick.llm.textblock import Block, anchors, blocks, lists, signed, stretches
 
 SHINGLE = 6
-#: Passages of one shingle that a task takes before the shingle is spread over more tasks.
+#: Passages of one shingle that an automaton takes, or runs once the shingle is spread over several.
 PASSAGES_PER_TASK = 4096
-#: Shingles that share an automaton; small automata stay in the processor's cache.
+#: Shingles that share an automaton if they have few passages; small automata stay in the processor's cache.
 SHINGLES_PER_AUTOMATON = 64
 
+#: Rows of passages in a batch.
+ROWS = 1 << 14
+
 _SCAN = "_id long, _key long, n_words long, sha string, grams array<long>, at array<int>"
 
 
@@ -89,25 +95,31 @@ def _starts(block: Block, window: int) -> np.ndarray:
 
 
 def _passages(window: int):
-    """The words of the confirmed passages: a pattern (kind 0) for each task of the shard, and a row to stream."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of the confirmed passages, or of their runs: each as a pattern (kind 0) and as a row to stream (kind 1)."""
+    names = ["gram", "own", "part", "kind", "words", "_key", "_id", "lo"]
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32())
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch, block in blocks(batches):
             block.split()
             keys, ids = batch.column("_key").to_pylist(), batch.column("_id").to_pylist()
-            out: list[list] = [[] for _ in range(8)]
             for i, passages in enumerate(batch.column("passages").to_pylist()):
                 data, edge = block.joined(i)
                 edge = edge.tolist()
                 for p in passages:
-                    lo, hi, parts = p["lo"], p["hi"], p["parts"]
-                    text, mine = data[edge[lo]:edge[hi + window] - 1], (keys[i] + lo) % parts
-                    for part, kind in [(x, 0) for x in range(parts)] + [(mine, 1)]:
-                        for column, value in zip(out, (p["gram"], part, kind, text, keys[i], ids[i], lo)):
-                            column.append(value)
-            yield pa.record_batch(
-                [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(),
-                                                      pa.int64(), pa.int32()))],
-                ["gram", "part", "kind", "words", "_key", "_id", "lo"])
+                    lo, hi, parts, gram = p["lo"], p["hi"], p["parts"], p["gram"]
+                    own = gram if p["own"] else 0
+                    # lo : hi are the first and the last start of a run.
+                    for a, b in [(lo, hi)] if parts == 1 else [(x, x) for x in range(lo, hi + 1)]:
+                        text = data[edge[a]:edge[b + window] - 1]
+                        part = zlib.crc32(text) % parts if parts > 1 else 0
+                        for kind in (0, 1):
+                            yield gram, own, part, kind, text, keys[i], ids[i], a
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = rows(batches)
+        while some := list(islice(every, ROWS)):
+            yield pa.record_batch([pa.array(v, t) for v, t in zip(zip(*some), types)], names)
     return run
 
 
@@ -143,10 +155,10 @@ def _located(window: int):
         now, shard = None, None
         for batch in batches:
             keys, los, his = [], [], []
-            cols = [batch.column(c).to_pylist() for c in ("shard", "part", "kind", "words", "_key", "_id", "lo")]
-            for number, part, kind, words, key, doc, start in zip(*cols):
-                if now != (number, part):
-                    now, shard = (number, part), _Shard(window)
+            cols = [batch.column(c).to_pylist() for c in ("shard", "part", "own", "kind", "words", "_key", "_id", "lo")]
+            for number, part, own, kind, words, key, doc, start in zip(*cols):
+                if now != (number, part, own):
+                    now, shard = (number, part, own), _Shard(window)
                 if kind == 0:
                     shard.add(words, doc, start)
                     continue
@@ -212,17 +224,19 @@ def repeated_phrases(docs: DataFrame, window: int = 20) -> DataFrame:
     passages = kept(found.groupBy("gram", "passage").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("_id", "lo", "_key", "hi")).alias("first")), "phrase-passages")
     shared = passages.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n")).filter(
-        "m > 1 OR n > 1").select("gram", F.expr(f"int(1 + m div {PASSAGES_PER_TASK})").alias("parts"))
+        "m > 1 OR n > 1").select(
+            "gram", F.expr(f"m > {PASSAGES_PER_TASK // SHINGLES_PER_AUTOMATON}").alias("own"),
+            F.expr(f"int(IF(m < {PASSAGES_PER_TASK}, 1, 1 + m * {window - SHINGLE + 1} div {PASSAGES_PER_TASK}))").alias("parts"))
     shared = kept(shared, "phrase-shared")
     confirmed = passages.join(shared, "gram")
-    place = F.struct("first.lo", "first.hi", "gram", "parts")
+    place = F.struct("first.lo", "first.hi", "gram", "own", "parts")
     to_shards = routed.select("_key", "_id", "text").join(
         confirmed.groupBy(F.col("first._key").alias("_key")).agg(F.collect_list(place).alias("passages")), "_key")
     shards = F.lit(1 + shared.count() // SHINGLES_PER_AUTOMATON)
-    rows_in = to_shards.mapInArrow(_passages(window), "gram long, part int, kind int, words binary, _key long, "
+    rows_in = to_shards.mapInArrow(_passages(window), "gram long, own long, part int, kind int, words binary, _key long, "
                                                       "_id long, lo int").withColumn(
         "shard", F.pmod(F.xxhash64("gram"), shards)).drop("gram")
-    located = kept(rows_in.repartition("shard", "part").sortWithinPartitions("shard", "part", "kind")
+    located = kept(rows_in.repartition("shard", "part").sortWithinPartitions("shard", "part", "own", "kind")
                    .mapInArrow(_located(window), "_key long, lo int, hi int"), "phrase-located")
     again = found.join(passages.filter("n > 1").select("gram", "passage", F.col("first._id").alias("_first"),
                                                        F.col("first.lo").alias("_at")), ["gram", "passage"])
