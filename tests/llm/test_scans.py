@@ -55,6 +55,27 @@ def test_secrets_are_redacted(spark):
     assert None in rows and "" in rows and len(rows) == len(secret_rows())
 
 
+def test_private_keys_are_redacted_whole(spark):
+    rng = random.Random(4)
+    lines = ["".join(rng.choices("ABCDEFGHabcdefgh0123456789+/", k=64)) for _ in range(12)] + ["Qx7/yZ=="]
+    fields = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-256-CBC,0A1B2C", ""]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    pgp = [x.replace("RSA PRIVATE KEY", "PGP PRIVATE KEY BLOCK") for x in (begin, end)]
+    keys = ["\n".join([begin, *lines, end]), "\r\n".join([begin, *fields, *lines, end]), "\\n".join([begin, *lines, end]),
+            " ".join([begin, *lines, end]), "\n> ".join([begin, *lines, end]), "\n".join([pgp[0], "", *lines, pgp[1]]),
+            "\n".join([begin, *lines]), "\n".join([begin, *fields, *lines]), "\n".join([begin, *lines[:-1], "Qx7"])]
+    rows = [(n, f"before it\n{k}\nafter it") for n, k in enumerate(keys)]
+    rows += [(100, f"The line {begin} starts a key, and no key follows."), (101, f"{keys[6]}\n{keys[0]}\nafter it")]
+    got = {r.doc_id: r.text for r in secrets.redact(frame(spark, rows)).collect()}
+    for n in range(len(keys)):
+        assert got[n] == "before it\n[private_key]\nafter it"
+    assert got[100] == "The line [private_key] starts a key, and no key follows."
+    assert got[101] == "[private_key]\n[private_key]\nafter it"
+    found = {r.doc_id: r.found for r in secrets.scan(frame(spark, rows)).collect()}
+    assert all((found[n][0].kind, found[n][0].start, found[n][0].end) == ("private_key", 10, 10 + len(k))
+               for n, k in enumerate(keys))
+
+
 @pytest.mark.parametrize("pattern,query", [
     ("abc", b"abc"), ("ab", None), ("abc|abd", {b"abc", b"abd"}), ("abc|x", None), ("x*abcd", {b"abc", b"bcd"}),
     ("[0-9]+", None), ("(abc)+z", b"abc"), ("ab(c|d)e", {b"abc", b"bce", b"abd", b"bde"})])

@@ -39,9 +39,16 @@ BASE = (
          re.IGNORECASE | re.ASCII, 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 0, 20),
     Rule("hex", r"[0-9a-f]{24,}", 0, 0, 24))  # a run of 24 or more is a run that is long enough
+_KEY = r"(?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----"
+#: What may stand between the lines of a key: white space, escapes and marks of quoting.
+_GAP = r"""(?:\s|\\[nrt]|["'`,;>#*+|])"""
+#: Header and body up to the END line; without one, the header's fields and the runs of base64, the last one short.
+_PRIVATE = (rf"-----BEGIN {_KEY}(?:(?:(?!-----)[\s\S])*-----END {_KEY}"
+            rf"|(?:{_GAP}+[A-Z][A-Za-z-]*: [^\r\n\\]*)*(?:{_GAP}*[A-Za-z0-9+/=]{{16,}})+"
+            rf"(?:(?:\s|\\[nrt])+[A-Za-z0-9+/=]+(?=\s*(?:[\r\n\\\"']|$)))?)?")
 #: Further kinds, after the base ones.
 MORE = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", _PRIVATE),
     Rule("login_url", r"[a-z][a-z0-9+.-]*://[^/\s:@]+:([^/\s:@]+)@", 0, 1),
     Rule("git_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
