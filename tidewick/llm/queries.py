@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewick.llm import (classifier, decontamination, licenses, oracle, packing, phrases, rules, secrets, sharding,
+from tidewick.llm import (bpe, classifier, decontamination, licenses, oracle, packing, phrases, rules, secrets, sharding,
                           simhash, suffixes)
 from tidewick.llm.common import documents
 
@@ -85,6 +85,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_sequences(documents(spark, sf_dir), tokenizer_path())
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digests of the ids of every text, and of the text they decode to."""
+    path = tokenizer_path()
+    return bpe.decode(bpe.encode(documents(spark, sf_dir), path), path).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -93,5 +101,5 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_substring_dedup, op2_benchmark_decontamination, op3_quality_rules, op4_simhash_near_dedup, op5_feistel_sharding, op6_suffix_array_dedup,
-    op7_secret_scan, op8_quality_classifier, op9_license_scan, op10_best_fit_packing)}
+    op7_secret_scan, op8_quality_classifier, op9_license_scan, op10_best_fit_packing, op11_bpe)}
 ORACLE: dict[str, str] = {"op9_license_scan": oracle.license_scan()}
