@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewick.llm import (bpe, classifier, decontamination, licenses, oracle, packing, phrases, rules, secrets, sharding,
-                          simhash, suffixes)
+from tidewick.llm import (bpe, classifier, decontamination, licenses, negatives, oracle, packing, phrases, rules, secrets,
+                          sharding, simhash, spelling, suffixes)
 from tidewick.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,16 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts with their most frequent near word and the root of their spelling."""
+    return spelling.variants(documents(spark, sf_dir)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives near the positives of every hundredth vector."""
+    return negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -101,5 +111,6 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_substring_dedup, op2_benchmark_decontamination, op3_quality_rules, op4_simhash_near_dedup, op5_feistel_sharding, op6_suffix_array_dedup,
-    op7_secret_scan, op8_quality_classifier, op9_license_scan, op10_best_fit_packing, op11_bpe)}
-ORACLE: dict[str, str] = {"op9_license_scan": oracle.license_scan()}
+    op7_secret_scan, op8_quality_classifier, op9_license_scan, op10_best_fit_packing, op11_bpe,
+    op12_spelling_variants, op13_hard_negatives)}
+ORACLE: dict[str, str] = {"op9_license_scan": oracle.license_scan(), "op13_hard_negatives": oracle.HARD_NEGATIVES}
