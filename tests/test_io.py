@@ -1,8 +1,11 @@
 """Readers and writers on real files."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
+from tidewick import schemas
 from tidewick.operators import quality
 from tidewick.operators.samples import flatten_nested
 from tidewick.sources import readers, writers
@@ -45,6 +48,51 @@ def test_sample_array_file(spark, tmp_path):
     assert readers.json_samples(spark, str(path), array=True).count() == 2
 
 
+def _sample(i):
+    return {"symbol": f"S{i}", "timestamp": "2024", "price_data": {"close": i / 4}, "signal": "BUY",
+            "reasoning": f'x }}, {{ \n  }},\n  {{ "{i}" é' if i % 3 == 0 else "[]"}
+
+
+@pytest.mark.parametrize("indent", [1, 2, 4])
+def test_split_array(spark, tmp_path, indent):
+    """One array in one file is read by several tasks, whatever bytes the splits fall on."""
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "a.json").write_text(json.dumps([_sample(i) for i in range(400)], indent=indent))
+    for name, text in (("empty", "[]"), ("blank", " [\n ]\n"), ("nothing", ""), ("one", json.dumps([_sample(400)], indent=indent))):
+        (tmp_path / "a" / f"{name}.json").write_text(text)
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps(_sample(i)) for i in range(401)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1009b", "7919b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = readers.json_samples(spark, str(tmp_path / "a"), array=True, separator=readers.array_separator(indent))
+            assert df.rdd.getNumPartitions() > 5 and df.schema == schemas.SAMPLE
+            rows = sorted(df.collect(), key=lambda r: r.symbol)
+            assert rows == sorted(readers.json_samples(spark, str(tmp_path / "lines.json")).collect(), key=lambda r: r.symbol)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_malformed_objects_of_an_array(spark, tmp_path):
+    path, sep = str(tmp_path / "a.json"), readers.array_separator(None)
+    (tmp_path / "a.json").write_text('[{"symbol": "A", "signal": "x"}, {"symbol": ], "signal": 1}, {"symbol": "C", "confidence": 0.5}]')
+    with pytest.raises(Exception):
+        readers.json_samples(spark, path, array=True, separator=sep).collect()
+    assert {r.symbol for r in readers.json_samples(spark, path, array=True, separator=sep, skip_malformed=True).collect()} == {"A", "C"}
+    assert [tuple(r)[1:] for r in readers.malformed_objects(spark, path, sep).collect()] == [(1, 3)]
+
+
+def test_array_files_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(f"S{i}", f"a}},\n  {{{i}") for i in range(50)], "symbol string, reasoning string").repartition(3)
+    path = str(tmp_path / "out")
+    writers.write_json_arrays(df, path)
+    assert sorted(x["symbol"] for f in (tmp_path / "out").glob("*.txt") for x in json.loads(f.read_text())) == sorted(f"S{i}" for i in range(50))
+    back = readers.json_samples(spark, path, array=True, separator=readers.array_separator())
+    assert sorted(back.select("symbol", "reasoning").collect()) == sorted(df.collect())
+    writers.write_json_arrays(df.limit(0), path)
+    assert readers.json_samples(spark, path, array=True, separator=readers.array_separator()).count() == 0
+
+
 def test_event_log_bad_lines(spark, tmp_path):
     (tmp_path / "log.jsonl").write_text(
         '{"timestamp":"2024-01-01T00:00:00","type":"error","data":"{}"}\nnot json\n\n'

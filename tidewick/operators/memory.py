@@ -88,7 +88,7 @@ def top_recent(items: DataFrame, limit: int = RECENT) -> DataFrame:
     return _ranked(items, limit, F.col("timestamp").desc())
 
 
-def _dot(x: Column, y: Column) -> Column:
+def dot(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
 
 
@@ -110,7 +110,7 @@ def semantic_topk(items: DataFrame, queries: DataFrame, k: int = IMPORTANT, *,
     """
     queries = queries.select("query_id", "agent_id", unit(F.col("query")).alias("_q"))
     pairs = items.withColumn("_u", unit(F.col("embedding"))).join(written(queries, "queries"), "agent_id")
-    score = _dot(F.col("_u"), F.col("_q"))
+    score = dot(F.col("_u"), F.col("_q"))
     pairs = pairs.withColumn("score", score if decimals is None else F.round(score, decimals))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
     return (pairs.select("query_id", "agent_id", "id", "score")

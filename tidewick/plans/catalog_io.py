@@ -62,6 +62,28 @@ def scan_json_samples(spark, sf):
                      "market_context.trend", "signal", "confidence")
 
 
+@query("scan_json_arrays", S.hourly(f"""SELECT symbol, {S.r('close')}, {S.r('rsi')}, trend, signal, {S.r('confidence')} FROM lab""",
+                                    S.ADVANCED, S.LABELLED))
+def scan_json_arrays(spark, sf):
+    """Samples as top-level arrays, each file split over tasks."""
+    path = scratch_path(spark, "arrays")
+    writers.write_json_arrays(smp.build_sample(t.labelled(spark, sf)), path)
+    df = readers.json_samples(spark, path, array=True, separator=readers.array_separator(2))
+    return df.select("symbol", "price_data.close", "technical_indicators.rsi",
+                     "market_context.trend", "signal", "confidence")
+
+
+@query("malformed_array_samples", S.hourly("SELECT count(*) AS objects, count(*) FILTER (signal = 'BUY') AS malformed FROM adv", S.ADVANCED))
+def malformed_array_samples(spark, sf):
+    """Arrays of samples in which those that say BUY have a bracket too many."""
+    path = scratch_path(spark, "arrays")
+    text = F.to_json(F.struct("*"))
+    broken = F.when(F.col("signal") == "BUY", F.replace(text, F.lit('"price_data":{'), F.lit('"price_data":[{'))).otherwise(text)
+    writers.write_json_arrays(smp.build_sample(t.labelled(spark, sf)), path, text=broken)
+    return readers.malformed_objects(spark, path, readers.array_separator(2)).agg(
+        F.sum("objects").alias("objects"), F.sum("malformed").alias("malformed"))
+
+
 def _chunked(spark, sf, rows=500):
     path = scratch_path(spark, "chunks")
     writers.write_chunks(_candles(spark, sf), path, rows)

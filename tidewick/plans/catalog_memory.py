@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewick.functions import text as tx
-from tidewick.operators import memory as mem
+from tidewick.operators import memory as mem, vector_index as ix
 from tidewick.plans import sqltext as S, tables as t
 from tidewick.plans.registry import query
+from tidewick.session import written
 
 CONTEXT_TOKENS = 400
 _M = (S.MEMORY,)
@@ -71,6 +72,29 @@ def semantic_topk(spark, sf):
     return _hits(spark, sf)
 
 
+_ALL = """q AS (SELECT vec_id AS query_id, embedding AS query FROM embeddings WHERE vec_id % 25 = 0),
+  hits AS (SELECT query_id, vec_id AS id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
+    SELECT query_id, vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(query AS DOUBLE[])), 6) AS score
+    FROM embeddings CROSS JOIN q) QUALIFY rank <= 20)"""
+
+
+@query("semantic_topk_index", S.with_(_ALL, select="""SELECT count(DISTINCT query_id) AS queries, count(*) AS wanted, true AS recall_reached,
+  count(DISTINCT query_id) AS own_first, true AS scores_exact FROM hits"""))
+def semantic_topk_index(spark, sf):
+    """All vectors as one agent's, indexed; every 25th asks for its nearest 20, which are compared with the exact ones."""
+    items = t.vectors(spark, sf).withColumn("agent_id", F.lit("all"))
+    queries = items.filter("id % 25 = 0").select(F.col("id").alias("query_id"), "agent_id", F.col("embedding").alias("query"))
+    planes = ix.Hyperplanes(64)
+    index = written(ix.index_items(items, planes), "vector-index")
+    found = written(ix.indexed_topk(items, index, queries, planes, 20, decimals=6), "found")
+    exact = mem.semantic_topk(items, queries, 20, decimals=6)
+    same = found.join(exact.select("query_id", "id", F.col("score").alias("_score")), ["query_id", "id"]).agg(
+        F.bool_and(F.col("score") == F.col("_score"))).scalar()
+    own = found.filter("rank = 1 AND id = query_id").agg(F.count(F.lit(1))).scalar()
+    return ix.recall(found, exact).select("queries", "wanted", (F.col("recall") >= 0.9).alias("recall_reached"),
+                                          own.alias("own_first"), same.alias("scores_exact"))
+
+
 @query("memory_hydrate", S.with_(_SEM, select="""SELECT query_id, h.agent_id, id, rank, len(embedding) AS dims,
   round(embedding[1] + 1e-9, 6) AS first FROM hits h JOIN embeddings e ON e.vec_id = h.id"""))
 def memory_hydrate(spark, sf):

@@ -51,24 +51,59 @@ def multi_symbol_csv(spark: SparkSession, folder: str, symbols: Sequence[str] |
     return df.filter(F.col("symbol").isin(*symbols)) if symbols else df
 
 
-def json_samples(spark: SparkSession, path: str, *, array: bool = False,
+def array_separator(indent: int | None = 2, gap: str = " ") -> str:
+    """What lies between two objects of a top-level array: indented by so many blanks, or on one line with ``gap``."""
+    return "}," + gap + "{" if indent is None else f"\n{' ' * indent}}},\n{' ' * indent}{{"
+
+
+def array_objects(spark: SparkSession, path: str, separator: str) -> DataFrame:
+    """(value, file): the objects of top-level JSON arrays, one file's array read by as many tasks as it has splits.
+
+    The file is cut at ``separator`` by the text source, which seeks to the next one in each split. The braces
+    that this takes away are put back; what follows a whole object (the array's end) is not read by ``from_json``.
+    No layout has a line break inside a string, so an indented array is cut exactly; on one line, a string
+    that holds the separator makes two malformed objects.
+    """
+    pieces = spark.read.option("lineSep", separator).text(path).select("value", F.col("_metadata.file_name").alias("file"))
+    head = r"^[\s\x{FEFF}]*\[\s*"
+    pieces = pieces.filter(~F.col("value").rlike(rf"{head}(\]\s*)?$") & (F.trim("value") != ""))
+    opened = F.when(F.col("value").rlike(head), F.regexp_replace("value", head, "")).otherwise(F.concat(F.lit("{"), "value"))
+    return pieces.select(F.concat(opened, F.lit("}")).alias("value"), "file")
+
+
+_BAD = "_malformed"
+_MARKED_SAMPLE = StructType([*schemas.SAMPLE.fields, StructField(_BAD, StringType())])
+
+
+def _parsed(values: DataFrame) -> DataFrame:
+    return values.withColumn("_parsed", F.from_json("value", _MARKED_SAMPLE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}))
+
+
+def json_samples(spark: SparkSession, path: str, *, array: bool = False, separator: str | None = None,
                  skip_malformed: bool = False) -> DataFrame:
-    """Nested samples. A malformed object is an error unless skipping is asked for; ``malformed_objects`` counts them.
+    """Nested samples, one object per line, or top-level arrays (``array=True``).
 
-    Prefer one object per line: a top-level JSON array (``array=True``) cannot be split.
+    A malformed object is an error unless skipping is asked for; ``malformed_objects`` counts them. Give the
+    ``array_separator`` of an array's layout to have it split over tasks; without it each file is one task.
     """
+    if array and separator is not None:
+        objects = array_objects(spark, path, separator)
+        if not skip_malformed:
+            return objects.select(F.from_json("value", schemas.SAMPLE, {"mode": "FAILFAST"}).alias("_parsed")).select("_parsed.*")
+        return _parsed(objects).filter(F.col("_parsed")[_BAD].isNull()).select(
+            *[F.col("_parsed")[f.name].alias(f.name) for f in schemas.SAMPLE.fields])
     return (spark.read.schema(schemas.SAMPLE).option("mode", "DROPMALFORMED" if skip_malformed else "FAILFAST")
             .option("multiLine", array).json(path))
 
 
-def malformed_objects(spark: SparkSession, path: str) -> DataFrame:
-    """Per file of one object per line: objects that ``json_samples`` cannot read, and all objects."""
-    bad = "_malformed"
-    schema = StructType([*schemas.SAMPLE.fields, StructField(bad, StringType())])
-    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
-    lines = lines.filter(F.trim("value") != "").select("file", parsed[bad].isNotNull().alias("malformed"))
-    return lines.groupBy("file").agg(F.count_if("malformed").alias("malformed"), F.count(F.lit(1)).alias("objects"))
+def malformed_objects(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
+    """Per file: objects that ``json_samples`` cannot read, and all objects. Give the separator of arrays."""
+    if separator is None:
+        values = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file")).filter(F.trim("value") != "")
+    else:
+        values = array_objects(spark, path, separator)
+    bad = _parsed(values).select("file", F.col("_parsed")[_BAD].isNotNull().alias("malformed"))
+    return bad.groupBy("file").agg(F.count_if("malformed").alias("malformed"), F.count(F.lit(1)).alias("objects"))
 
 
 def chunks(spark: SparkSession, path: str, max_chunks: int | None = None, *,

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewick.operators.series import global_positions
@@ -77,6 +78,32 @@ def write_samples_json(samples: DataFrame, path: str) -> None:
     samples.write.mode("overwrite").partitionBy("symbol").json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, indent: int = 2, *, text: Column | None = None) -> None:
+    """Files that each hold one top-level JSON array, laid out for ``readers.array_separator(indent)``.
+
+    ``text`` gives an object's JSON, all columns by default. Objects are written as they come, so a file may be
+    larger than a task's memory.
+    """
+    pad = " " * indent
+    inner = F.regexp_replace(F.to_json(F.struct("*")) if text is None else text, r"^\{(.*)\}$", "$1")
+
+    def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            lines = []
+            for fields in batch.column(0).to_pylist():
+                if last is None:
+                    lines.append("[")
+                else:
+                    lines.append(f"{pad}{{\n{pad * 2}{last}\n{pad}}},")
+                last = fields
+            yield pa.record_batch([pa.array(lines, pa.string())], ["value"])
+        end = ["[]"] if last is None else [f"{pad}{{\n{pad * 2}{last}\n{pad}}}", "]"]
+        yield pa.record_batch([pa.array(end, pa.string())], ["value"])
+
+    df.select(inner.alias("value")).mapInArrow(laid_out, "value string").write.mode("overwrite").text(path)
+
+
 def combine_csv(df: DataFrame, path: str, *order: str) -> None:
     """Globally ordered CSV part files (range partitioned, so no single writer)."""
     df.orderBy(*order).write.mode("overwrite").option("header", True).csv(path)
