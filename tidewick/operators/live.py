@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewick.functions.numeric import ladder, ratio, round_to
+from tidewick.operators.asof import as_of
 from tidewick.operators.series import block_window, blocked, day_of
 
-CONTEXT_BARS = 20
+CONTEXT_BARS, FEED_ROWS = 20, 10
 CONTEXT_FIELDS = ("sma_5", "sma_20", "price_change", "price_change_pct", "volume_ratio", "volatility", "trend")
 
 
@@ -66,6 +67,21 @@ def backtest_context(bars: DataFrame, digits: int | None = 2) -> DataFrame:
         "symbol", "timestamp", "pos", F.col("close").alias("latest_price"), "indicators.*")
 
 
+def live_context(bars: DataFrame, quotes: DataFrame, trades: DataFrame, width: str, *, count: int = FEED_ROWS,
+                 digits: int | None = 2) -> DataFrame:
+    """What is known when a bar closes: its price and indicators, and the last quotes and trades up to then.
+
+    A bar of ``width`` closes that long after its timestamp. ``quotes`` and ``trades`` become lists of structs, oldest
+    first. Of trades of one time the order is by ``trade_id``; quotes of one time by their prices.
+    """
+    known = recent_context(bars, digits).withColumns({
+        "_start": F.col("timestamp"), "timestamp": F.col("timestamp") + F.expr(f"INTERVAL {width}"), "latest_price": F.col("close")})
+    joined = as_of(known, {"quotes": quotes, "trades": trades}, n=count,
+                   ties={"quotes": [c for c in quotes.columns if c not in ("symbol", "timestamp")], "trades": ["trade_id"]})
+    return joined.select("symbol", F.col("_start").alias("timestamp"), F.col("timestamp").alias("known_at"), "latest_price",
+                         *CONTEXT_FIELDS, "quotes", "trades")
+
+
 def momentum_verdict(recent: Column, older: Column) -> Column:
     return ladder([(recent > older * 1.02, "bullish"), (recent < older * 0.98, "bearish")], "none")
 

@@ -7,12 +7,12 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from tidewick import schemas
-from tidewick.operators import quality, samples as smp
+from tidewick.operators import live, quality, samples as smp
 from tidewick.plans import sqltext as S, tables as t
 from tidewick.plans.registry import query
-from tidewick.session import scratch_path
+from tidewick.session import scratch_path, written
 from tidewick.sources import readers, writers
-from tidewick.streaming import jobs
+from tidewick.streaming import jobs, keyed
 
 OHLCV = ["open", "high", "low", "close", "volume"]
 _BARS = "SELECT symbol AS product_id, timestamp, open, high, low, close, volume FROM bars"
@@ -331,16 +331,109 @@ def _collected(spark, stream):
     return spark.read.schema(stream.schema).parquet(out)
 
 
+#: The same for bars that are known an hour after their time, so that they fall behind quotes and trades.
+_KEYED_DELAY = "8 hours"
+#: Files of a feed come in time order, but a row may be in the file after its own: it is up to so late.
+_DELAY = "6 hours"
+
+
+def _feed_files(spark, rows, at="timestamp"):
+    """A feed of five files that overlap by up to six hours."""
+    path = scratch_path(spark, "feed")
+    rows = written(rows, "feed-rows")
+    late = F.expr("INTERVAL 1 MINUTE") * F.pmod(F.xxhash64(*[c for c, k in rows.dtypes if k != "double"]), F.lit(360))
+    part = F.datediff(F.col(at) + late, F.lit("2024-01-01")) / 6
+    for n in range(5):  # the first and the last file also hold what lies outside
+        inside = (F.lit(True) if n == 0 else part >= n) & (F.lit(True) if n == 4 else part < n + 1)
+        rows.filter(inside).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def _bar_stream(spark, sf, frame="1Hour"):
-    """Bars as five files that each mix all times, one file for each trigger."""
-    path = scratch_path(spark, "bars")
-    t.bars(spark, sf, frame).repartition(5, F.xxhash64("symbol", "timestamp")).write.parquet(path)
-    return jobs.stream_source(spark, path, "bar", files_per_trigger=1)
+    """One file of bars for each trigger."""
+    return jobs.stream_source(spark, _feed_files(spark, t.bars(spark, sf, frame)), "bar", files_per_trigger=1)
 
 
 def _in_ranges(spark, stream, step):
-    """Any file can hold any time of the month, so a bar is due 40 days after the latest one seen, or at the end."""
-    return jobs.run_ranges(stream, step(scratch_path(spark, "ranges"), "40 days"), scratch_path(spark, "ranges-state"))
+    """Ranges close behind the overlap of two files, the last one at the end."""
+    return jobs.run_ranges(stream, step(scratch_path(spark, "ranges"), _DELAY), scratch_path(spark, "ranges-state"))
+
+
+def _quotes(spark, sf):
+    """Every third tick read as a quote around its price."""
+    price = F.col("price")
+    return t.ticks(spark, sf).filter("trade_id % 3 = 0").select(
+        "timestamp", "symbol", (price - 0.5).alias("bid_price"), (price + 0.5).alias("ask_price"),
+        F.col("trade_id").cast("double").alias("bid_size"), F.col("size").alias("ask_size"))
+
+
+def _trades(spark, sf):
+    return t.ticks(spark, sf).filter("trade_id % 3 <> 0").select("timestamp", "symbol", "price", "size", "trade_id")
+
+
+def _shown_context(df):
+    """The lists as what tells them apart: counts, ends, and sums that depend on every row and its place."""
+    def placed(values):
+        return F.aggregate(F.zip_with(values, F.sequence(F.lit(1), F.size(values)), lambda x, i: x * i), F.lit(0.0), lambda a, x: a + x)
+
+    bids, trades = F.col("quotes.bid_size"), F.transform("trades.trade_id", lambda x: x.cast("double"))
+    return df.select(
+        "symbol", "timestamp", "latest_price", "sma_5", "trend", F.size("quotes").alias("quotes"), F.size("trades").alias("trades"),
+        F.try_element_at("quotes.ask_price", F.lit(-1)).alias("last_ask"), F.try_element_at("trades.price", F.lit(1)).alias("first_price"),
+        F.when(F.size("quotes") > 0, placed(bids)).alias("quote_places"), F.when(F.size("trades") > 0, placed(trades)).alias("trade_places"))
+
+
+_CONTEXT_SQL = S.with_(S.TICKS, S.bars(), """w AS (SELECT *, timestamp + INTERVAL 1 HOUR AS known, row_number() OVER v AS k,
+    avg(close) OVER (PARTITION BY symbol ORDER BY timestamp ROWS 4 PRECEDING) AS s5,
+    avg(close) OVER (PARTITION BY symbol ORDER BY timestamp ROWS 19 PRECEDING) AS s20 FROM bars WINDOW v AS (PARTITION BY symbol ORDER BY timestamp)),
+  x AS (SELECT *, CASE WHEN k >= 5 THEN s5 ELSE close END AS a5, CASE WHEN k >= 20 THEN s20 ELSE close END AS a20 FROM w),
+  qs AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp, trade_id) AS n FROM ticks WHERE trade_id % 3 = 0),
+  ts AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp, trade_id) AS n FROM ticks WHERE trade_id % 3 <> 0),
+  qn AS (SELECT symbol, timestamp, max(n) AS n FROM qs GROUP BY 1, 2), tn AS (SELECT symbol, timestamp, max(n) AS n FROM ts GROUP BY 1, 2),
+  qa AS (SELECT x.*, coalesce(qn.n, 0) AS qn FROM x ASOF LEFT JOIN qn ON x.symbol = qn.symbol AND x.known >= qn.timestamp),
+  ends AS (SELECT qa.*, coalesce(tn.n, 0) AS tn FROM qa ASOF LEFT JOIN tn ON qa.symbol = tn.symbol AND qa.known >= tn.timestamp),
+  ql AS (SELECT e.symbol, e.timestamp, count(*) AS quotes, arg_max(price + 0.5, n) AS last_ask,
+    sum(CAST(trade_id AS DOUBLE) * (n - greatest(e.qn - 10, 0))) AS quote_places FROM ends e JOIN qs ON qs.symbol = e.symbol AND n > e.qn - 10 AND n <= e.qn GROUP BY 1, 2),
+  tl AS (SELECT e.symbol, e.timestamp, count(*) AS trades, arg_min(price, n) AS first_price,
+    sum(CAST(trade_id AS DOUBLE) * (n - greatest(e.tn - 10, 0))) AS trade_places FROM ends e JOIN ts ON ts.symbol = e.symbol AND n > e.tn - 10 AND n <= e.tn GROUP BY 1, 2)""",
+  select=f"""SELECT e.symbol, e.timestamp, close AS latest_price, {S.r('CASE WHEN k >= 2 THEN a5 END', 'sma_5')},
+  CASE WHEN k >= 2 THEN CASE WHEN a5 > a20 THEN 'bullish' WHEN a5 < a20 THEN 'bearish' ELSE 'neutral' END END AS trend,
+  coalesce(quotes, 0) AS quotes, coalesce(trades, 0) AS trades, last_ask, first_price, quote_places, trade_places
+  FROM ends e LEFT JOIN ql USING (symbol, timestamp) LEFT JOIN tl USING (symbol, timestamp)""")
+
+
+@query("live_context", _CONTEXT_SQL)
+def live_context(spark, sf):
+    """Price, indicators and the last ten quotes and trades when each hourly bar closes."""
+    return _shown_context(live.live_context(t.bars(spark, sf), _quotes(spark, sf), _trades(spark, sf), "1 HOUR", digits=None))
+
+
+def _keyed(spark, sf, build, bars):
+    """Runs a keyed stream over bars to its end; heartbeats far behind the last bar let out what waits."""
+    keyed.with_state_store(spark)
+    out, beats = scratch_path(spark, "keyed"), scratch_path(spark, "heartbeats")
+    streams = []
+
+    def built(heartbeats):
+        streams.append(build(heartbeats))
+        return streams[-1]
+
+    jobs.run_to_end(spark, built, out, scratch_path(spark, "keyed-state"), beats, bars.select("symbol").distinct(),
+                    F.lit("2024-03-01").cast("timestamp"))
+    return spark.read.schema(streams[-1].schema).parquet(out)
+
+
+@query("stream_live_context", _CONTEXT_SQL)
+def stream_live_context(spark, sf):
+    """As ``live_context``, from three feeds, with a symbol's last rows as keyed state."""
+    bars = t.bars(spark, sf)
+    feeds = [(_feed_files(spark, rows), kind) for rows, kind in ((bars, "bar"), (_quotes(spark, sf), "quote"), (_trades(spark, sf), "trade"))]
+
+    def build(heartbeats):
+        streams = [jobs.stream_source(spark, path, kind, files_per_trigger=1) for path, kind in feeds]
+        return jobs.keyed_context(*streams, "1 HOUR", _KEYED_DELAY, heartbeats=heartbeats)
+
+    return _shown_context(_keyed(spark, sf, build, bars))
 
 
 @query("stream_sources", S.with_(S.TICKS, select="SELECT trade_id, symbol, timestamp, price, size FROM ticks WHERE symbol IN ('click', 'view')"))
@@ -378,16 +471,28 @@ def stream_last_n(spark, sf):
     return _in_ranges(spark, _bar_stream(spark, sf), jobs.stream_last_n)
 
 
-@query("stream_momentum", S.with_(S.TICKS, S.bars(), """m AS (SELECT symbol, timestamp, close, row_number() OVER (PARTITION BY symbol ORDER BY timestamp) AS n,
+_MOMENTUM_SQL = S.with_(S.TICKS, S.bars(), """m AS (SELECT symbol, timestamp, close, row_number() OVER (PARTITION BY symbol ORDER BY timestamp) AS n,
     avg(close) OVER (PARTITION BY symbol ORDER BY timestamp ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS ra,
     avg(close) OVER (PARTITION BY symbol ORDER BY timestamp ROWS BETWEEN 9 PRECEDING AND 5 PRECEDING) AS oa FROM bars)""",
   select="""SELECT symbol, timestamp, close, least(n, 100) AS history, CASE WHEN n >= 10 THEN round(ra + 1e-9, 6) END AS recent_avg,
     CASE WHEN n >= 10 THEN round(oa + 1e-9, 6) END AS older_avg,
-    CASE WHEN n >= 10 THEN CASE WHEN ra > oa * 1.02 THEN 'bullish' WHEN ra < oa * 0.98 THEN 'bearish' ELSE 'none' END END AS momentum FROM m"""))
+    CASE WHEN n >= 10 THEN CASE WHEN ra > oa * 1.02 THEN 'bullish' WHEN ra < oa * 0.98 THEN 'bearish' ELSE 'none' END END AS momentum FROM m""")
+
+
+@query("stream_momentum", _MOMENTUM_SQL)
 def stream_momentum(spark, sf):
     return _in_ranges(spark, _bar_stream(spark, sf), jobs.stream_momentum)
 
 
+@query("stream_momentum_keyed", _MOMENTUM_SQL)
+def stream_momentum_keyed(spark, sf):
+    """As ``stream_momentum``, with a symbol's last closes as keyed state."""
+    bars = t.bars(spark, sf)
+    path = _feed_files(spark, bars)
+    return _keyed(spark, sf, lambda beats: jobs.keyed_momentum(
+        jobs.stream_source(spark, path, "bar", files_per_trigger=1), _DELAY, heartbeats=beats), bars)
+
+
 @query("stream_decide", S.hourly(f"""SELECT symbol, timestamp, close, action, {S.r('confidence')}, reason IS NULL AS is_valid, reason FROM (
   SELECT *, CASE WHEN NOT symbol IN ('click', 'view', 'purchase') THEN 'invalid signal format' WHEN done >= 40 THEN 'daily trade limit reached'
     WHEN lost <= -5000 THEN 'daily loss limit exceeded' WHEN NOT (action = 'hold' OR symbol <> 'view') THEN 'position limits exceeded'

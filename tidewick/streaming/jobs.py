@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidewick import schemas
 from tidewick.functions.rules import with_signal_advanced
 from tidewick.operators.indicators import indicator_panel
-from tidewick.operators.live import CONTEXT_BARS, CONTEXT_FIELDS, momentum_5v5, recent_context
+from tidewick.operators.live import (
+    CONTEXT_BARS, CONTEXT_FIELDS, FEED_ROWS, context_indicators, momentum_5v5, momentum_verdict, recent_context)
 from tidewick.operators.resample import resample
 from tidewick.operators.risk import RiskLimits, prior_daily_counters, validate_signals
 from tidewick.operators.series import HALO_ROWS
+from tidewick.streaming.keyed import last_rows
 from tidewick.streaming.ranges import ClosedRanges
 
 FEEDS = {"bar": schemas.BARS, "quote": schemas.QUOTES, "trade": schemas.TRADES}
@@ -76,6 +78,56 @@ def stream_last_n(root: str, delay: str, keep: int = BUFFER_BARS) -> ClosedRange
     return ClosedRanges(root, lambda bars: last_n_of(bars, keep), keep=max(keep, CONTEXT_BARS), delay=delay)
 
 
+def live_context_of(rows: DataFrame) -> DataFrame:
+    """The columns of ``live.live_context`` from the lists of ``keyed.last_rows`` (bar, quote, trade)."""
+    closes, volumes = F.col("bar.close"), F.col("bar.volume")
+    return rows.withColumn("_last", F.element_at("bar", -1)).select(
+        F.col("key").alias("symbol"), F.col("_last.timestamp").alias("timestamp"), F.col("at").alias("known_at"),
+        F.col("_last.close").alias("latest_price"), context_indicators(closes, volumes, None).alias("_c"),
+        F.col("quote").alias("quotes"), F.col("trade").alias("trades")).select(
+        "symbol", "timestamp", "known_at", "latest_price", *[f"_c.{x}" for x in CONTEXT_FIELDS], "quotes", "trades")
+
+
+def keyed_context(bars: DataFrame, quotes: DataFrame, trades: DataFrame, width: str, delay: str, *,
+                  heartbeats: DataFrame | None = None) -> DataFrame:
+    """Stream of ``live.live_context`` rows, each symbol's last rows held as keyed state."""
+    known = bars.withColumn("_known", F.col("timestamp") + F.expr(f"INTERVAL {width}"))
+    rows = last_rows({"bar": known, "quote": quotes, "trade": trades}, "bar", {"bar": CONTEXT_BARS, "quote": FEED_ROWS, "trade": FEED_ROWS},
+                     delay, times={"bar": "_known"}, ties={"trade": "trade_id"}, heartbeats=heartbeats)
+    return live_context_of(rows)
+
+
+def keyed_momentum(bars: DataFrame, delay: str, keep: int = HISTORY_BARS, *, heartbeats: DataFrame | None = None) -> DataFrame:
+    """Stream of ``momentum_of`` rows, each symbol's last closes held as keyed state."""
+    rows = last_rows({"bar": bars}, "bar", {"bar": keep}, delay, heartbeats=heartbeats)
+    closes = F.col("bar.close")
+
+    def mean(first: int) -> Column:
+        return F.aggregate(F.slice(closes, first, 5), F.lit(0.0), lambda acc, x: acc + x) / 5.0
+
+    ready = F.size("bar") >= 10
+    rows = rows.select(F.col("key").alias("symbol"), F.col("at").alias("timestamp"), F.element_at("bar", -1)["close"].alias("close"),
+                       F.size("bar").cast("long").alias("history"), F.when(ready, mean(-5)).alias("recent_avg"),
+                       F.when(ready, mean(-10)).alias("older_avg"))
+    return rows.withColumn("momentum", F.when(F.col("older_avg").isNotNull(), momentum_verdict(F.col("recent_avg"), F.col("older_avg"))))
+
+
+def run_to_end(spark: SparkSession, build: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, beats: str,
+               symbols: DataFrame, end: Column) -> None:
+    """Runs a keyed stream of feeds that have ended, and lets everything that waits out.
+
+    ``build`` gets the stream of heartbeats. After the feeds two heartbeats at ``end`` follow: the first moves the
+    watermark, the second is a batch in which the timers find it moved.
+    """
+    beat = symbols.select("symbol", end.alias("timestamp"))
+    beat.limit(0).write.mode("append").parquet(beats)
+    stream = build(spark.readStream.schema("symbol string, timestamp timestamp").parquet(beats))
+    run_available(stream, path, checkpoint)
+    for _ in range(2):
+        beat.write.mode("append").parquet(beats)
+        run_available(stream, path, checkpoint)
+
+
 def decide(bars: DataFrame, limits: RiskLimits, positions: DataFrame | None = None,
            executed: DataFrame | None = None) -> DataFrame:
     """Rule signal and risk verdict for each bar of one account.
@@ -91,6 +143,10 @@ def decide(bars: DataFrame, limits: RiskLimits, positions: DataFrame | None = No
         executed = spark.createDataFrame([], "timestamp timestamp, pnl double")
     if positions is None:
         positions = spark.createDataFrame([], "symbol string, qty double")
+    # Counters restart each day, so only the trades of the bars' days matter: a range of dates that reaches the scan.
+    span = bars.agg(F.date_trunc("day", F.min("timestamp")).alias("lo"), F.max("timestamp").alias("hi")).first()
+    if span["lo"] is not None:
+        executed = executed.filter(F.col("timestamp").between(F.lit(span["lo"]), F.lit(span["hi"])))
     trades = executed.select("timestamp", "pnl", F.lit(1).alias("_done"))
     times = df.select("timestamp").distinct().select("timestamp", F.lit(0.0).alias("pnl"), F.lit(0).alias("_done"))
     counted = prior_daily_counters(trades.unionByName(times).withColumn("account", F.lit(0)), ["timestamp", "_done"],

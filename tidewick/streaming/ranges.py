@@ -40,15 +40,22 @@ class ClosedRanges:
     def __call__(self, batch: DataFrame, trigger: int) -> None:
         spark = batch.sparkSession
         before = self._mark(spark, trigger - 1)
-        late = F.lit(False) if before is None else F.unix_micros(self.time) <= before
-        batch.filter(late).write.mode("overwrite").parquet(self._path("late", trigger))
-        waiting = self._once(self._read(spark, "waiting", trigger - 1, batch).unionByName(batch.filter(~late)))
+        if before is not None:
+            late = F.unix_micros(self.time) <= before
+            batch.filter(late).write.mode("overwrite").parquet(self._path("late", trigger))
+            batch = batch.filter(~late)
         newest = batch.agg(F.unix_micros(F.max(self.time) - F.expr(f"INTERVAL {self.delay}")).alias("mark")).first()["mark"]
         mark = max((x for x in (before, newest) if x is not None), default=None)
-        spark.createDataFrame([(mark,)], "mark long").write.mode("overwrite").parquet(self._path("mark", trigger))
+        self._once(self._waiting(spark, trigger - 1, batch).unionByName(batch)).write.mode("overwrite").parquet(self._path("seen", trigger))
+        spark.createDataFrame([(mark,)], "mark long").coalesce(1).write.mode("overwrite").parquet(self._path("mark", trigger))
         due = F.lit(False) if mark is None else F.unix_micros(self.time) <= mark
-        waiting.filter(~due).write.mode("overwrite").parquet(self._path("waiting", trigger))
-        self._close(spark, waiting.filter(due), trigger, trigger - 1)
+        self._close(spark, self._read(spark, "seen", trigger, batch).filter(due), trigger, trigger - 1)
+
+    def _waiting(self, spark: SparkSession, trigger: int, like: DataFrame) -> DataFrame:
+        """The bars of a trigger's ``seen`` table that its mark has not passed."""
+        mark = self._mark(spark, trigger)
+        seen = self._read(spark, "seen", trigger, like)
+        return seen if mark is None else seen.filter(F.unix_micros(self.time) > mark)
 
     def _once(self, bars: DataFrame) -> DataFrame:
         rest = [c for c in bars.columns if c not in (self.key, self.time)]
@@ -72,7 +79,7 @@ class ClosedRanges:
         """Closes the range of all waiting bars; call it once, after the last trigger."""
         triggers = spark.read.option("basePath", f"{self.root}/mark").parquet(f"{self.root}/mark")
         last = triggers.agg(F.max("trigger")).first()[0]
-        waiting = spark.read.schema(schema).parquet(self._path("waiting", last))
+        waiting = self._waiting(spark, last, spark.createDataFrame([], schema))
         self._close(spark, waiting, last + 1, last)
 
     def results(self, spark: SparkSession) -> DataFrame:
