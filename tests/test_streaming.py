@@ -215,7 +215,7 @@ def test_ranges_close_between_triggers(spark, tmp_path):
     jobs.run_batches(stream, step, str(tmp_path / "cp"))
     ranges = spark.read.option("basePath", str(tmp_path / "out/out")).parquet(str(tmp_path / "out/out"))
     assert ranges.select("trigger").distinct().count() >= 3
-    waits = spark.read.parquet(str(tmp_path / "out/seen/trigger=4")).filter("timestamp > '2024-01-29'").count()
+    waits = spark.read.parquet(str(tmp_path / "out/held/trigger=4")).filter("timestamp > '2024-01-29'").count()
     assert waits < bars.count() / 5
     step.finish(spark, stream.schema)
     assert _rows(_rounded(step.results(spark))) == _rows(_rounded(jobs.last_n_of(bars)))

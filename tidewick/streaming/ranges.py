@@ -1,9 +1,9 @@
 """Event-time ranges: bars of a stream are worked on once the watermark has passed them.
 
-A feed arrives in any order and in any split into triggers. Each trigger's bars join the waiting ones;
-the mark is the latest time seen minus ``delay``. The waiting bars up to the mark form a closed range that
-is worked on with batch operators, after the last ``keep`` bars of each symbol before it. So the answer
-depends on the bars alone, and one symbol's range can span tasks.
+A feed arrives in any order and in any split into triggers. Each trigger's bars join the held ones; the mark is
+the latest time seen minus ``delay``. The held bars up to the mark form a closed range that is worked on with
+batch operators, after the last ``keep`` bars of each symbol before it; those and the waiting bars are held on. So
+the answer depends on the bars alone, and one symbol's range can span tasks.
 
 A bar at or before the mark of an earlier trigger comes too late: it goes to the ``late`` table and is
 not used. A bar that is delivered again while it waits counts once: the delivery with the greatest values,
@@ -46,16 +46,21 @@ class ClosedRanges:
             batch = batch.filter(~late)
         newest = batch.agg(F.unix_micros(F.max(self.time) - F.expr(f"INTERVAL {self.delay}")).alias("mark")).first()["mark"]
         mark = max((x for x in (before, newest) if x is not None), default=None)
-        self._once(self._waiting(spark, trigger - 1, batch).unionByName(batch)).write.mode("overwrite").parquet(self._path("seen", trigger))
+        waiting, passed = self._held(spark, trigger - 1, before, batch)
+        self._once(waiting.unionByName(batch)).unionByName(passed).write.mode("overwrite").parquet(self._path("held", trigger))
         spark.createDataFrame([(mark,)], "mark long").coalesce(1).write.mode("overwrite").parquet(self._path("mark", trigger))
-        due = F.lit(False) if mark is None else F.unix_micros(self.time) <= mark
-        self._close(spark, self._read(spark, "seen", trigger, batch).filter(due), trigger, trigger - 1)
-
-    def _waiting(self, spark: SparkSession, trigger: int, like: DataFrame) -> DataFrame:
-        """The bars of a trigger's ``seen`` table that its mark has not passed."""
-        mark = self._mark(spark, trigger)
-        seen = self._read(spark, "seen", trigger, like)
-        return seen if mark is None else seen.filter(F.unix_micros(self.time) > mark)
+        if mark is not None and mark != before:
+            known = self._read(spark, "held", trigger, batch).filter(F.unix_micros(self.time) <= mark)
+            self._close(known, before, trigger)
+
+    def _held(self, spark: SparkSession, trigger: int, mark: int | None, like: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """What a trigger leaves behind: the bars that its mark has not passed, and each symbol's last ones before it."""
+        held = self._read(spark, "held", trigger, like)
+        if mark is None:
+            return held, held.limit(0)
+        newest = Window.partitionBy(self.key).orderBy(F.col(self.time).desc())
+        passed = held.filter(F.unix_micros(self.time) <= mark).withColumn("_k", F.row_number().over(newest))
+        return held.filter(F.unix_micros(self.time) > mark), passed.filter(F.col("_k") <= self.keep).drop("_k")
 
     def _once(self, bars: DataFrame) -> DataFrame:
         rest = [c for c in bars.columns if c not in (self.key, self.time)]
@@ -63,24 +68,19 @@ class ClosedRanges:
         return bars.groupBy(self.key, self.time).agg(kept).select(
             *[F.col(f"_kept.{c}") if c in rest else F.col(c) for c in bars.columns])
 
-    def _close(self, spark: SparkSession, due: DataFrame, trigger: int, last: int) -> None:
-        tail = self._read(spark, "tail", last, due)
-        if due.isEmpty():
-            tail.write.mode("overwrite").parquet(self._path("tail", trigger))
-            return
-        known = tail.withColumn("_due", F.lit(False)).unionByName(due.withColumn("_due", F.lit(True)))
-        out = self.work(known.drop("_due")).join(due.select(self.key, self.time), [self.key, self.time], "left_semi")
+    def _close(self, known: DataFrame, before: int | None, trigger: int) -> None:
+        out = self.work(known)
+        if before is not None:  # the bars before it were held for their values only
+            out = out.filter(F.unix_micros(self.time) > before)
         out.write.mode("overwrite").parquet(self._path("out", trigger))
-        newest = Window.partitionBy(self.key).orderBy(F.col(self.time).desc())
-        tail = known.drop("_due").withColumn("_k", F.row_number().over(newest)).filter(F.col("_k") <= self.keep)
-        tail.drop("_k").write.mode("overwrite").parquet(self._path("tail", trigger))
 
     def finish(self, spark: SparkSession, schema) -> None:
         """Closes the range of all waiting bars; call it once, after the last trigger."""
         triggers = spark.read.option("basePath", f"{self.root}/mark").parquet(f"{self.root}/mark")
         last = triggers.agg(F.max("trigger")).first()[0]
-        waiting = self._waiting(spark, last, spark.createDataFrame([], schema))
-        self._close(spark, waiting, last + 1, last)
+        mark = self._mark(spark, last)
+        waiting, passed = self._held(spark, last, mark, spark.createDataFrame([], schema))
+        self._close(waiting.unionByName(passed), mark, last + 1)
 
     def results(self, spark: SparkSession) -> DataFrame:
         """The output of all ranges; there is none before the first range has closed."""
