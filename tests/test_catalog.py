@@ -5,6 +5,10 @@ The default run takes a cross-section; TIDEWICK_ALL=1 takes every query (also:
 """
 
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -37,5 +41,17 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
+@pytest.mark.parametrize("without", [("tidewick/llm", "tests/llm"), ("tidewick/llm", "tests/llm", "corpus_pipeline.py")])
+def test_imports_without_text_operators(tmp_path, without):
+    """A copy without that subpackage has all other queries."""
+    root = Path(entry.__file__).parent
+    gone = {str(root / x) for x in without}
+    shutil.copytree(root, tmp_path / "copy", ignore=lambda folder, names: {
+        x for x in names if x in (".git", "__pycache__") or f"{folder}/{x}" in gone})
+    code = "import __spark_entry__ as e, tests.compare; print(len(e.queries()), any(x.startswith('op') and x[2:3].isdigit() for x in e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, timeout=120)
+    assert out.stdout.split() == [str(len(QUERIES)), "False"], out.stderr[-500:]
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
