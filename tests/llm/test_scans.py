@@ -146,6 +146,30 @@ def test_leaks_recall(spark):
     assert decontamination.leaks(frame(spark, rows), bench.limit(0)).collect() == []
 
 
+def test_rows_keep_columns_that_operators_use_inside(spark):
+    """Stages that filter rows leave every column and value as it was, whatever its name."""
+    from tidewick.llm import simhash
+
+    names = ("_row", "_key", "_whole", "_of_row", "_id", "a", "b", "print")
+    rows = [(i, t, *[f"{x}{i}" for x in names]) for i, t in enumerate(["one two three four five six", None, "", "an item of the benchmark " * 3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{x} string" for x in names))
+    bench = spark.createDataFrame([(1, "an item of the benchmark an item of the benchmark")], "item_id long, text string")
+    assert sorted(map(tuple, decontamination.clean(docs, bench).collect())) == [tuple(x) for x in rows[:3]]
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[1], rows[3]]
+
+
+def test_licences_of_files_without_a_number(spark):
+    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+    rows = [(None, "a/x.txt", mit), (None, "b/y.txt", gpl), (None, "c/z.txt", "none here"), (7, "d/p.txt", mit), (7, "e/q.txt", gpl),
+            (7, "e/q.txt", gpl), (None, None, mit), (8, None, None)]
+    files = spark.createDataFrame([(*r, False) for r in rows], "file long, path string, text string, speaks boolean")
+    got = licenses.scan(files, licenses.templates(spark)).collect()
+    want = {mit: ("MIT", "own"), gpl: ("GPL-3.0", "own")}
+    assert sorted(((r.file, r.path, r.licence, r.origin) for r in got), key=repr) == sorted(
+        ((f, p, *want.get(t, (None, "none"))) for f, p, t in rows), key=repr)
+
+
 @pytest.mark.parametrize("script", ["words", "long words", "unspaced"])
 @pytest.mark.parametrize("rate", [0.0, 0.1, 0.15, 0.2])
 def test_leaks_recall_up_to_all_edits(spark, script, rate):

@@ -29,6 +29,12 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(doc_id).cast("bigint"), F.col(text).isNull(), F.col(text))
 
 
+def rows_with(df: DataFrame, keys: DataFrame, how: str, key: Column) -> DataFrame:
+    """``df`` joined to the one column of ``keys`` by ``key``: 'left_semi' or 'left_anti'; any column names may be taken."""
+    whole = df.select(F.struct("*").alias("_whole"), key.alias("_of_row"))
+    return whole.join(keys.toDF("_of_row"), "_of_row", how)
+
+
 #: Drops the shuffle files of an execution when it ends; a written table has no need of them.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidewick.llm.common import rows_with
 from tidewick.llm.textblock import blocks
 
 #: Part of an item's characters that may be edited.
@@ -285,4 +286,4 @@ def _finder(part: list[tuple[int, bytes]]):
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold an item of the benchmark nearly."""
     bad = leaks(docs, benchmark).select("_row").distinct()
-    return docs.withColumn("_row", F.xxhash64("doc_id", "text")).join(bad, "_row", "left_anti").select(*docs.columns)
+    return rows_with(docs, bad, "left_anti", F.xxhash64("doc_id", "text")).select("_whole.*")

@@ -98,15 +98,16 @@ def scan(files: DataFrame, known: DataFrame, least: float = LEAST) -> DataFrame:
 
     Files that speak for their directory, by name or where ``speaks`` is true, give it their licence; of
     several licences the one of most files counts, then the first by name. ``origin`` is 'own',
-    'inherited' or 'none'. ``file`` is one number per file; repeated rows give
-    repeated results. A null text has no licence of its own; a null path has no directory. An empty table
+    'inherited' or 'none'. ``file`` is a number; rows without one, or that share one, are told apart by their
+    licence texts; repeated rows give repeated results. A null text has no licence of its own; a null path has no directory. An empty table
     gives no rows; other columns are ignored.
     """
     speaks = F.coalesce(F.col("path").rlike(FILE_NAME), F.lit(False)) | F.coalesce("speaks", F.lit(False))
-    files = files.select("file", "path", speaks.alias("speaks"),
-                         licence_text(F.col("path"), F.col("text")).alias("text"))
-    found = matches(files.filter("text IS NOT NULL").select("file", "text"), known, least)
-    rows = files.select("file", "path", "speaks").join(found, "file", "left").withColumn("directory", _parent(F.col("path")))
+    own = licence_text(F.col("path"), F.col("text"))
+    files = files.select("file", "path", speaks.alias("speaks"), own.alias("text"), F.xxhash64("file", F.col("file").isNull(), own).alias("_id"))
+    found = matches(files.filter("text IS NOT NULL").select(F.col("_id").alias("file"), "text"), known, least)
+    found = found.withColumnRenamed("file", "_id")
+    rows = files.select("file", "path", "speaks", "_id").join(found, "_id", "left").withColumn("directory", _parent(F.col("path")))
     votes = rows.filter("speaks AND licence IS NOT NULL AND directory IS NOT NULL").groupBy(
         "directory", "licence").agg(F.count(F.lit(1)).alias("n"))
     licensed = votes.groupBy("directory").agg(F.min(F.struct((-F.col("n")).alias("n"), "licence")).alias("v")).select(

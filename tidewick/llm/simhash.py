@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewick.llm.common import NO_ID, kept, order_key, row_key
+from tidewick.llm.common import NO_ID, kept, order_key, row_key, rows_with
 from tidewick.llm.components import components
 from tidewick.llm.textblock import blocks
 
@@ -193,5 +193,4 @@ def near_copies(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of every component: the one with the least doc_id; all columns stay."""
     first = near_copies(docs).groupBy("_component").agg(F.min(F.struct("_id", "_key")).alias("first"))
-    return docs.withColumn("_key", row_key()).join(first.select("first._key"), "_key", "left_semi").dropDuplicates(
-        ["_key"]).select(*docs.columns)
+    return rows_with(docs, first.select("first._key"), "left_semi", row_key()).dropDuplicates(["_of_row"]).select("_whole.*")
