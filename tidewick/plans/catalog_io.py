@@ -11,7 +11,7 @@ from tidewick.operators import live, quality, samples as smp
 from tidewick.plans import sqltext as S, tables as t
 from tidewick.plans.registry import query
 from tidewick.session import scratch_path, written
-from tidewick.sources import readers, writers
+from tidewick.sources import readers, stores, writers
 from tidewick.streaming import jobs, keyed
 
 OHLCV = ["open", "high", "low", "close", "volume"]
@@ -196,6 +196,17 @@ def incremental_append(spark, sf):
     return spark.read.schema(schemas.CANDLES).parquet(path)
 
 
+@query("incremental_append_summary", S.with_(S.TICKS, S.bars(), select=_BARS))
+def incremental_append_summary(spark, sf):
+    """As ``incremental_append``, in three loads; last times come from the summaries of the loads."""
+    candles = _candles(spark, sf)
+    store = stores.SeriesStore(spark, scratch_path(spark, "series"), schemas.CANDLES.simpleString()[7:-1].replace(":", " ")).create()
+    for end in ("2024-01-15", "2024-01-20"):
+        store.append(candles.filter(F.col("timestamp") < end))
+    store.append(candles)
+    return store.read()
+
+
 @query("write_chunks", S.with_(S.TICKS, S.bars(), select="SELECT count(*) AS rows, true AS all_within FROM bars"))
 def write_chunks(spark, sf):
     return writers.chunk_metadata(spark, _chunked(spark, sf)).agg(

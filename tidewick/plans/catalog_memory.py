@@ -8,7 +8,8 @@ from tidewick.functions import text as tx
 from tidewick.operators import memory as mem, vector_index as ix
 from tidewick.plans import sqltext as S, tables as t
 from tidewick.plans.registry import query
-from tidewick.session import written
+from tidewick.session import scratch_path, written
+from tidewick.sources.stores import KeyedStore
 
 CONTEXT_TOKENS = 400
 _M = (S.MEMORY,)
@@ -305,10 +306,27 @@ def memory_insights(spark, sf):
     return mem.memory_insights(t.memory_items(spark, sf))
 
 
-@query("upsert_latest", S.with_(*_M, select="SELECT id, agent_id, round(importance + CASE WHEN role = 'user' THEN 1 ELSE 0 END + 1e-9, 6) AS importance FROM items"))
+_UPSERT = S.with_(*_M, select="SELECT id, agent_id, round(importance + CASE WHEN role = 'user' THEN 1 ELSE 0 END + 1e-9, 6) AS importance FROM items")
+
+
+@query("upsert_latest", _UPSERT)
 def upsert_latest(spark, sf):
     stored = t.memory_items(spark, sf).select("id", "agent_id", "importance", "timestamp",
                                               F.col("tags")[0].alias("role"))
     newer = stored.filter("role = 'user'").withColumn("importance", F.col("importance") + 1)
     return mem.upsert_latest(stored, newer, ["id"], "timestamp").select(
         "id", "agent_id", "importance")
+
+
+@query("upsert_store", _UPSERT)
+def upsert_store(spark, sf):
+    """As ``upsert_latest`` in a stored table: half of the changes replace their buckets, half are added and folded."""
+    stored = t.memory_items(spark, sf).select("id", "agent_id", "importance", "timestamp", F.col("tags")[0].alias("role"))
+    store = KeyedStore.create(stored, scratch_path(spark, "store"), ["id"], "timestamp", buckets=16)
+    newer = stored.filter("role = 'user'").withColumns({"importance": F.col("importance") + 1,
+                                                        "timestamp": F.col("timestamp") + F.expr("INTERVAL 1 SECOND")})
+    half = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    store.upsert(newer.filter(half))
+    store.append(newer.filter(~half))
+    store.compact()
+    return store.read().select("id", "agent_id", "importance")
