@@ -134,3 +134,22 @@ def test_gain_alert(spark):
     got = {r.symbol: (r.type, r.message) for r in risk.position_alerts(df).collect()}
     assert got == {"a": ("position_gain", "Position a up 10.00%"),
                    "d": ("position_loss", "Position d down -5.00%")}
+
+
+def test_alert_summary_without_alerts(spark):
+    from tidewick.operators.performance import alert_summary
+
+    none = spark.createDataFrame([], "type string, timestamp timestamp, trade_id long")
+    assert [tuple(r) for r in alert_summary(none, ["timestamp", "trade_id"]).collect()] == [(None, 0, 0, 0)]
+    some = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "type string, trade_id long")
+    assert sorted(map(tuple, alert_summary(some, ["trade_id"], last=2).collect())) == [("a", 1, 2, 3), ("b", 1, 2, 3)]
+
+
+def test_retention_counts_what_it_removes(spark):
+    from tidewick.operators.memory import retention, retention_report
+
+    items = spark.createDataFrame([(1, "2023-01-01", 0.1), (2, "2023-01-01", 0.9), (3, "2024-01-30", 0.1), (4, None, 0.1), (5, "2023-01-01", None)],
+                                  "id int, at string, importance double").withColumn("timestamp", F.to_timestamp("at"))
+    as_of = F.lit("2024-02-01").cast("timestamp")
+    assert sorted(r.id for r in retention(items, as_of).collect()) == [2, 3, 4, 5]
+    assert tuple(retention_report(items, as_of).first()) == (1, 4)

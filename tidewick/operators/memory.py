@@ -227,11 +227,19 @@ def transfer_on_retire(items: DataFrame, successors: DataFrame, as_of: Column) -
     return add_memories(moved)
 
 
+def _stale(as_of: Column, days: int, least: float) -> Column:
+    return F.coalesce((F.col("timestamp") < as_of - F.expr(f"INTERVAL {int(days)} DAYS")) & (F.col("importance") < least), F.lit(False))
+
+
 def retention(items: DataFrame, as_of: Column, days: int = 30, least: float = 0.3) -> DataFrame:
     """Drops rows that are both older than ``days`` and less important than ``least``."""
-    stale = (F.col("timestamp") < as_of - F.expr(f"INTERVAL {int(days)} DAYS")) & (
-        F.col("importance") < least)
-    return items.filter(~stale)
+    return items.filter(~_stale(as_of, days, least))
+
+
+def retention_report(items: DataFrame, as_of: Column, days: int = 30, least: float = 0.3) -> DataFrame:
+    """One row: how many rows ``retention`` removes and keeps."""
+    stale = _stale(as_of, days, least)
+    return items.agg(F.count_if(stale).alias("removed"), F.count_if(~stale).alias("kept"))
 
 
 def _limit(position: int, limits: Mapping[str, Sequence[float]]) -> Column:

@@ -121,13 +121,20 @@ def latest_performance(log: DataFrame) -> DataFrame:
 
 
 def alert_summary(alerts: DataFrame, order: Sequence[str], last: int = 50) -> DataFrame:
-    """Total alerts, and counts by type among the newest ``last`` (a top-k, not a full sort)."""
+    """Total alerts, and counts by type among the newest ``last`` (a top-k, not a full sort).
+
+    Without alerts there is one row of zeros, whose type is NULL.
+    """
     total = alerts.agg(F.count(F.lit(1)).alias("total_alerts"))
     newest = alerts.orderBy(*[F.col(o).desc() for o in order]).limit(last)
     by_type = newest.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
     # The total is one row; it rides on the (few) types as a scalar subquery.
-    return by_type.select("type", "n", F.sum("n").over(Window.partitionBy())
-                          .alias("recent_alerts"), total.scalar().alias("total_alerts"))
+    counted = by_type.select("type", "n", F.sum("n").over(Window.partitionBy()).alias("recent_alerts"),
+                             total.scalar().alias("total_alerts"))
+    zero = F.lit(0).cast("long")
+    none = total.filter("total_alerts = 0").select(
+        F.lit(None).cast(by_type.schema["type"].dataType).alias("type"), zero.alias("n"), zero.alias("recent_alerts"), "total_alerts")
+    return counted.unionByName(none)
 
 
 def trade_status_counts(trades: DataFrame) -> DataFrame:

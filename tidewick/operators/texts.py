@@ -40,8 +40,15 @@ def dataset_rows(df: DataFrame, template: str = tx.SFT_TEXT, *, row_id: Column)
     return rows.filter(F.col("text").isNotNull())
 
 
-def chat_analysis(df: DataFrame, indicators: dict[str, str]) -> Column:
-    """Chat text with one line per indicator; ``indicators`` maps a column to its printf format."""
+#: Every indicator of a sample in its order, with its format.
+ALL_INDICATORS = {x: "%d" if x in schemas.FLAG_FIELDS else "%.4f"
+                  for x in (*schemas.INDICATOR_FIELDS, *schemas.FLAG_FIELDS, *schemas.DISTANCE_FIELDS)}
+
+
+def chat_analysis(df: DataFrame, indicators: dict[str, str] | None = None) -> Column:
+    """Chat text with one line for every indicator, or those given as a column and its printf format."""
+    indicators = ALL_INDICATORS if indicators is None else indicators
+
     def text_of(name: str) -> Column:
         return F.coalesce(tx.number_text(F.col(name)), F.lit("N/A"))
 

@@ -226,10 +226,32 @@ def write_ordered_chunks(spark, sf):
         F.max_by("timestamp", order).alias("last_time")).withColumn("first_row", F.col("chunk") * 500)
 
 
-@query("dataset_metadata", S.with_(S.TICKS, S.bars(), select="SELECT count(*) AS total_samples, 500 AS chunk_size, 'snappy' AS compression FROM bars"))
+def _ordered(spark, sf):
+    path = scratch_path(spark, "ordered-chunks")
+    writers.write_ordered_chunks(t.candles(spark, sf), path, "symbol", ["timestamp"], bucket=F.date_trunc("day", "timestamp"), rows_per_file=500)
+    return path
+
+
+@query("dataset_metadata", S.with_(S.TICKS, S.bars(), select="""SELECT count(*) AS total_samples, (count(*) + 499) // 500 AS total_chunks, 500 AS chunk_size,
+  true AS size_agrees, 'parquet' AS format, 'snappy' AS compression FROM bars"""))
 def dataset_metadata(spark, sf):
-    return writers.dataset_metadata(spark, _chunked(spark, sf), 500).select(
-        "total_samples", "chunk_size", "compression")
+    """Totals of chunks of 500 bars; their size is compared with the folder's."""
+    path = _ordered(spark, sf)
+    stored = writers.folder_bytes(spark, f"{path}/chunk=*").scalar()
+    return writers.dataset_metadata(spark, path, 500).withColumn("size_agrees", F.col("size_bytes") == stored).drop("size_bytes")
+
+
+@query("chunk_list", S.with_(S.TICKS, S.bars(), select="""SELECT n // 500 AS chunk_id, count(*) AS rows, true AS named, true AS sized
+  FROM (SELECT row_number() OVER (ORDER BY symbol, timestamp) - 1 AS n FROM bars) GROUP BY 1"""))
+def chunk_list(spark, sf):
+    """Every chunk with its rows; that it has a name, and a size that fits."""
+    path = _ordered(spark, sf)
+    sizes = spark.read.format("binaryFile").load(f"{path}/chunk=*").select(
+        F.regexp_extract("path", "/chunk=([0-9]+)/", 1).cast("long").alias("chunk_id"),
+        F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length"))
+    return writers.chunk_list(spark, path).join(sizes, ["chunk_id", "filename"]).select(
+        "chunk_id", "rows", F.col("filename").endswith(".parquet").alias("named"),
+        ((F.col("size_bytes") == F.col("length")) & (F.abs(F.col("size_mb") * 1048576 - F.col("length")) < 1)).alias("sized"))
 
 
 @query("conversion_report", "SELECT true AS smaller, true AS sizes_agree, count(*) AS rows FROM orders")

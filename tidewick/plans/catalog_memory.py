@@ -213,6 +213,12 @@ def retention(spark, sf):
     return mem.retention(t.memory_items(spark, sf), t.memory_as_of()).select("id", "agent_id")
 
 
+@query("retention_report", S.with_(*_M, select="""SELECT count(*) FILTER (timestamp < TIMESTAMP '2024-02-01' - INTERVAL 30 DAYS AND importance < 0.3) AS removed,
+  count(*) FILTER (NOT (timestamp < TIMESTAMP '2024-02-01' - INTERVAL 30 DAYS AND importance < 0.3)) AS kept FROM items"""))
+def retention_report(spark, sf):
+    return mem.retention_report(t.memory_items(spark, sf), t.memory_as_of())
+
+
 _LIMITS = {"default": (400, 6, 700, 0.6), "conservative": (300, 4, 700, 0.7),
            "aggressive": (500, 7, 700, 0.5), "research": (600, 7, 700, 0.4)}
 

@@ -80,20 +80,23 @@ def _number(col: str) -> str:
     return rf"coalesce(regexp_replace({plain}, '(\.[0-9]+?)0+$', '\1'), 'N/A')"
 
 
-_LINES = {"rsi": "%.4f", "macd": "%.4f", "macd_signal": "%.4f", "bb_position": "%.4f",
-          "stoch_k": "%.4f", "atr": "%.4f", "hammer": "%d", "trend_short": "%d"}
 _LINES_SQL = "concat_ws(chr(10), " + ", ".join(
-    f"CASE WHEN {c} IS NOT NULL THEN printf('- {c}: {f}', {c}) END" for c, f in _LINES.items()) + ")"
+    f"CASE WHEN {c} IS NOT NULL THEN printf('- {c}: {f}', {c}) END" for c, f in texts.ALL_INDICATORS.items()) + ")"
+#: Off rounding ties, as above; the running price trend, a sum of large numbers, agrees to one decimal.
+_ALL_SHOWN = {c: "round({}, 1) + 1e-7" if c == "volume_price_trend" else "round({} + 1e-9, 6) + 1e-7"
+              for c in dict.fromkeys([*_SHOWN, *[x for x, f in texts.ALL_INDICATORS.items() if f != "%d"]])}
+_TX_ALL = "tx AS (SELECT * REPLACE (" + ", ".join(f"{e.format(c)} AS {c}" for c, e in _ALL_SHOWN.items()) + ") FROM lab)"
 
 
 @query("render_chat_analysis", S.hourly(
     "SELECT symbol, timestamp, " + _sql_text(
         tx.CHAT_ANALYSIS, indicator_lines=_LINES_SQL, rsi_text=_number("rsi"),
         macd_signal_text=_number("macd_signal"), position_size="'2-5%'",
-        stop_loss="'2-3%'", take_profit="'5-10%'") + " AS text FROM tx", *_LAB, _TX))
+        stop_loss="'2-3%'", take_profit="'5-10%'") + " AS text FROM tx", *_LAB, _TX_ALL))
 def render_chat_analysis(spark, sf):
-    df = _rows(spark, sf).drop("position_size", "stop_loss", "take_profit")
-    return df.select(*KEY, texts.chat_analysis(df, _LINES).alias("text"))
+    df = t.labelled(spark, sf, price_trend=True).drop("position_size", "stop_loss", "take_profit")
+    df = df.withColumns({c: F.expr(e.format(c)) for c, e in _ALL_SHOWN.items()})
+    return df.select(*KEY, texts.chat_analysis(df).alias("text"))
 
 
 @query("render_instruction", S.hourly(

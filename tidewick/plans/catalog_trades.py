@@ -128,15 +128,23 @@ def alert_summary(spark, sf):
     return perf.alert_summary(alerts, ORDER)
 
 
-@query("performance_alerts", S.with_(S.TRADES, _CURVE, _METRICS, select=f"""SELECT symbol, type, severity, {S.r('value')}, {S.r('threshold')} FROM (
-  SELECT symbol, 'drawdown_alert' AS type, 'high' AS severity, max_drawdown AS value, 900.0 AS threshold FROM metrics WHERE max_drawdown >= 900
-  UNION ALL SELECT symbol, 'low_win_rate', 'medium', win_rate, 66.5 FROM metrics WHERE win_rate < 66.5
-  UNION ALL SELECT symbol, 'high_frequency', 'medium', trades_per_hour, 0.05 FROM metrics WHERE trades_per_hour > 0.05)"""))
+#: Added before values are printed, here and in the SQL: sums of decimals often lie on rounding ties.
+_OFF_TIE = 1e-8
+
+
+@query("performance_alerts", S.with_(S.TRADES, _CURVE, _METRICS, """off AS (SELECT symbol, max_drawdown + 1e-8 AS max_drawdown,
+    win_rate + 1e-8 AS win_rate, trades_per_hour + 1e-8 AS trades_per_hour FROM metrics)""", select=f"""SELECT symbol, type, severity, message, {S.r('value')}, {S.r('threshold')} FROM (
+  SELECT symbol, 'drawdown_alert' AS type, 'high' AS severity, printf('Drawdown exceeded threshold: %.2f%%', max_drawdown * 100) AS message,
+    max_drawdown AS value, 900.0 AS threshold FROM off WHERE max_drawdown >= 900
+  UNION ALL SELECT symbol, 'low_win_rate', 'medium', printf('Low win rate: %.2f%%', win_rate * 100), win_rate, 66.5 FROM off WHERE win_rate < 66.5
+  UNION ALL SELECT symbol, 'high_frequency', 'medium', printf('High trading frequency: %.1f trades/hour', trades_per_hour), trades_per_hour, 0.05
+    FROM off WHERE trades_per_hour > 0.05)"""))
 def performance_alerts(spark, sf):
     metrics = perf.performance_metrics(t.trades(spark, sf), ["symbol"], ORDER,
                                        bucket=t.day_bucket(), digits=None)
+    metrics = metrics.withColumns({x: F.col(x) + _OFF_TIE for x in ("max_drawdown", "win_rate", "trades_per_hour")})
     return risk.performance_alerts(metrics, ["symbol"], drawdown_threshold=900.0,
-                                   win_rate_threshold=66.5, hourly_threshold=0.05).drop("message")
+                                   win_rate_threshold=66.5, hourly_threshold=0.05)
 
 
 # --- risk ----------------------------------------------------------------------------------------
@@ -297,13 +305,14 @@ def limit_price(spark, sf):
 
 @query("position_alerts", S.with_(S.POSITIONS, select=f"""SELECT account, symbol,
   CASE WHEN p <= -0.05 THEN 'position_loss' ELSE 'position_gain' END AS type,
-  CASE WHEN p <= -0.05 THEN 'warning' ELSE 'info' END AS severity, {S.r('p', 'unrealized_plpc')}
+  CASE WHEN p <= -0.05 THEN 'warning' ELSE 'info' END AS severity, {S.r('p', 'unrealized_plpc')},
+  printf('Position %s %s %.2f%%', symbol, CASE WHEN p <= -0.05 THEN 'down' ELSE 'up' END, p * 100) AS message
   FROM (SELECT *, unrealized_plpc + 0.06 * (account % 4) AS p FROM positions) WHERE qty <> 0 AND (p <= -0.05 OR p >= 0.10)"""))
 def position_alerts(spark, sf):
     shifted = t.positions(spark, sf).withColumn(
         "unrealized_plpc", F.col("unrealized_plpc") + 0.06 * (F.col("account") % 4))
     return risk.position_alerts(shifted).select("account", "symbol", "type", "severity",
-                                                "unrealized_plpc")
+                                                "unrealized_plpc", "message")
 
 
 @query("rebalance", S.with_(S.POSITIONS, """w AS (SELECT account, symbol, market_value / sum(market_value) OVER (PARTITION BY account) AS cur FROM positions),

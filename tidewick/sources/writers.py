@@ -52,13 +52,21 @@ def chunk_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dataset_metadata(spark: SparkSession, path: str, rows_per_file: int = 10_000) -> DataFrame:
-    """Totals over the chunk files."""
+    """Totals over the chunk files; ``chunk_list`` has the files."""
     return chunk_metadata(spark, path).agg(
         F.count(F.lit(1)).alias("total_chunks"), F.sum("rows").alias("total_samples"),
         F.lit(rows_per_file).alias("chunk_size"), F.sum("size_bytes").alias("size_bytes"),
         F.lit("parquet").alias("format"), F.lit("snappy").alias("compression"))
 
 
+def chunk_list(spark: SparkSession, path: str) -> DataFrame:
+    """(chunk_id, filename, rows, size_bytes, size_mb) of chunks that ``write_ordered_chunks`` has numbered."""
+    df = spark.read.parquet(path)
+    files = df.groupBy(F.col("chunk").cast("long").alias("chunk_id"), F.col("_metadata.file_name").alias("filename"),
+                       F.col("_metadata.file_size").alias("size_bytes")).agg(F.count(F.lit(1)).alias("rows"))
+    return files.withColumn("size_mb", F.col("size_bytes") / (1 << 20))
+
+
 def folder_bytes(spark: SparkSession, path: str) -> DataFrame:
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
              .select("length"))
