@@ -171,7 +171,7 @@ def test_incremental_append_per_product(spark, tmp_path):
 def test_ordered_chunks_are_full(spark, tmp_path):
     path = str(tmp_path / "o")
     df = spark.range(95).select(F.lit("A").alias("symbol"), F.timestamp_seconds("id").alias("timestamp"), "id").repartition(7)
-    writers.write_ordered_chunks(df, path, "symbol", ["timestamp"], bucket=F.date_trunc("minute", "timestamp"), rows_per_file=10)
+    writers.write_ordered_chunks(df, path, ["symbol", "timestamp"], rows_per_file=10)
     got = spark.read.parquet(path).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo")).collect()
     assert sorted((r.chunk, r.n, r.lo) for r in got) == [(i, 10 if i < 9 else 5, 10 * i) for i in range(10)]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewick.operators.performance import (backtest_performance, continuity_check, drawdown,
                                             next_trade_exit, performance_metrics)
-from tidewick.operators.series import (blocked, day_of, global_positions, number_rows,
+from tidewick.operators.series import (blocked, day_of, global_positions, number_rows, ranges_of,
                                        running_total)
 
 
@@ -34,7 +34,7 @@ def test_number_rows(rows):
 
 def test_global_positions(rows):
     pdf, df = rows
-    got = global_positions(df, "k", ["timestamp", "id"], bucket=day_of("timestamp")).toPandas()
+    got = global_positions(df, ["k", "timestamp", "id"]).toPandas()
     want = pdf.sort_values(["k", "timestamp", "id"]).reset_index(drop=True).reset_index()
     merged = got.merge(want, on="id")
     assert (merged.pos == merged["index"]).all() and (got._total == len(pdf)).all()
@@ -120,3 +120,21 @@ def test_continuity(spark):
         F.col("p").alias("product_id"), F.timestamp_seconds("s").alias("timestamp"))
     r = continuity_check(df, "product_id").first()
     assert (r.rows, r.gaps, r.duplicates) == (7, 2, 2)
+
+
+def test_positions_of_one_dense_day_run_in_even_ranges(spark):
+    """All rows in one key and one day, most of them in one second; nulls come first."""
+    df = spark.range(20000).select(F.lit("A").alias("k"), F.when(F.col("id") % 10 == 0, F.timestamp_seconds(F.col("id"))).otherwise(
+        F.timestamp_seconds(F.lit(5))).alias("timestamp"), F.col("id"))
+    df = df.unionByName(df.limit(0)).withColumn("timestamp", F.when(F.col("id") == 77, None).otherwise(F.col("timestamp"))).repartition(5)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ranges_of(df, ["k", "timestamp", "id"]).groupBy("_range").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    got = global_positions(df, ["k", "timestamp", "id"]).collect()
+    want = sorted(df.collect(), key=lambda r: (r.k, r.timestamp is not None, r.timestamp or 0, r.id))
+    assert [(r.id, r._total) for r in sorted(got, key=lambda r: r.pos)] == [(r.id, 20000) for r in want]
+    assert global_positions(df.limit(0), ["k"]).collect() == []

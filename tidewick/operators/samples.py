@@ -80,7 +80,7 @@ def cap_per_symbol(samples: DataFrame, limit: int = 5000, *, time: str = "timest
 def positional_split(samples: DataFrame, test: float = 0.1, *,
                      time: str = "timestamp") -> DataFrame:
     """Adds ``split``: the first int(total x (1-test)) rows in (symbol, time) order are train."""
-    ordered = global_positions(samples, "symbol", [time], bucket=day_of(time), name="_n")
+    ordered = global_positions(samples, ["symbol", time], name="_n")
     cut = F.floor(F.col("_total") * (1.0 - test))
     return ordered.withColumn("split", F.when(F.col("_n") < cut, "train").otherwise("test")).drop(
         "_n", "_total")
@@ -88,7 +88,7 @@ def positional_split(samples: DataFrame, test: float = 0.1, *,
 
 def peek_positions(samples: DataFrame, positions=(0, 50, 100), *,
                    time: str = "timestamp") -> DataFrame:
-    ordered = global_positions(samples, "symbol", [time], bucket=day_of(time), name="sample_pos")
+    ordered = global_positions(samples, ["symbol", time], name="sample_pos")
     return ordered.filter(F.col("sample_pos").isin(*positions)).drop("_total")
 
 

@@ -50,28 +50,29 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
             .drop("_bucket", "_base"))
 
 
-def global_positions(df: DataFrame, major: str, order: Sequence[str], *, bucket: Column,
-                     name: str = "pos") -> DataFrame:
-    """0-based position over the whole table in (major, order) order, plus the table size ``_total``.
+def ranges_of(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` with ``_range``: rows are dealt into ranges of the order, whose ends Spark samples, and written.
 
-    Two levels: buckets inside a major key, then major keys (one row each).
+    Written, because ranges that are sampled again could end elsewhere. Ranges are even whatever the values'
+    distribution; rows that agree in all columns of the order share one.
     """
-    counts = written(_bucket_table(df, [major], bucket, [F.count(F.lit(1)).alias("_n")]),
-                     "bucket-counts")
-    sizes = counts.groupBy(major).agg(F.sum("_n").alias("_size"))
-    # One row per major key: the only unpartitioned window, on a table of distinct keys.
-    offsets = sizes.select(
-        major,
-        F.coalesce(F.sum("_size").over(Window.orderBy(major).rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-        F.sum("_size").over(Window.partitionBy()).alias("_total"))
-    base = counts.select(
-        major, "_bucket", F.coalesce(F.sum("_n").over(_before([major])), F.lit(0)).alias("_base"))
-    base = base.join(offsets, major)
-    local = Window.partitionBy(major, "_bucket").orderBy(*order)
-    return (df.withColumn("_bucket", bucket).join(base, [major, "_bucket"])
-            .withColumn(name, F.col("_offset") + F.col("_base") + F.row_number().over(local) - 1)
-            .drop("_bucket", "_base", "_offset"))
+    return written(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+def global_positions(df: DataFrame, order: Sequence[str], *, name: str = "pos") -> DataFrame:
+    """0-based position over the whole table in the given order, plus the table size ``_total``.
+
+    Needs no bucket: a position is the rows of all earlier ranges plus the place in its range. Rows that agree in
+    all columns of the order may take their places in any order.
+    """
+    ranged = ranges_of(df, order)
+    counts = written(ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")), "range-counts")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each task
+    base = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"),
+                         F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    local = Window.partitionBy("_range").orderBy(*order)
+    return (ranged.join(base, "_range").withColumn(name, F.col("_base") + F.row_number().over(local) - 1)
+            .drop("_range", "_base"))
 
 
 def blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, bucket: Column,

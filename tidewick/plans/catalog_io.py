@@ -219,7 +219,7 @@ def write_ordered_chunks(spark, sf):
     """Chunks of 500 bars in (symbol, time) order."""
     path = scratch_path(spark, "ordered-chunks")
     bars = t.candles(spark, sf)
-    writers.write_ordered_chunks(bars, path, "symbol", ["timestamp"], bucket=F.date_trunc("day", "timestamp"), rows_per_file=500)
+    writers.write_ordered_chunks(bars, path, ["symbol", "timestamp"], rows_per_file=500)
     order = F.struct("symbol", "timestamp")
     return spark.read.parquet(path).groupBy(F.col("chunk").cast("bigint").alias("chunk")).agg(
         F.count(F.lit(1)).alias("rows"), F.min_by("symbol", order).alias("first_symbol"),
@@ -228,7 +228,7 @@ def write_ordered_chunks(spark, sf):
 
 def _ordered(spark, sf):
     path = scratch_path(spark, "ordered-chunks")
-    writers.write_ordered_chunks(t.candles(spark, sf), path, "symbol", ["timestamp"], bucket=F.date_trunc("day", "timestamp"), rows_per_file=500)
+    writers.write_ordered_chunks(t.candles(spark, sf), path, ["symbol", "timestamp"], rows_per_file=500)
     return path
 
 

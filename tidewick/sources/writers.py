@@ -31,13 +31,12 @@ def write_chunks(df: DataFrame, path: str, rows_per_file: int = 10_000) -> None:
      .option("maxRecordsPerFile", rows_per_file).parquet(path))
 
 
-def write_ordered_chunks(df: DataFrame, path: str, major: str, order: Sequence[str], *, bucket: Column,
-                         rows_per_file: int = 10_000) -> None:
-    """Chunks of exactly ``rows_per_file`` rows in (major, order) order, only the last one shorter.
+def write_ordered_chunks(df: DataFrame, path: str, order: Sequence[str], *, rows_per_file: int = 10_000) -> None:
+    """Chunks of exactly ``rows_per_file`` rows in the given order, only the last one shorter.
 
     One file a chunk, in the folder ``chunk=<number>``.
     """
-    placed = global_positions(df, major, order, bucket=bucket, name="_pos").drop("_total")
+    placed = global_positions(df, order, name="_pos").drop("_total")
     placed = placed.withColumn("chunk", F.expr(f"_pos div {rows_per_file}"))
     (placed.repartition("chunk").sortWithinPartitions("chunk", "_pos").drop("_pos")
      .write.mode("overwrite").option("compression", "snappy").partitionBy("chunk").parquet(path))
