@@ -11,7 +11,7 @@ from tidewick.operators import live, quality, samples as smp
 from tidewick.plans import sqltext as S, tables as t
 from tidewick.plans.registry import query
 from tidewick.session import scratch_path, written
-from tidewick.sources import readers, stores, writers
+from tidewick.sources import readers, stores, summaries, writers
 from tidewick.streaming import jobs, keyed
 
 OHLCV = ["open", "high", "low", "close", "volume"]
@@ -254,6 +254,24 @@ def chunk_list(spark, sf):
         ((F.col("size_bytes") == F.col("length")) & (F.abs(F.col("size_mb") * 1048576 - F.col("length")) < 1)).alias("sized"))
 
 
+@query("chunk_summaries", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS rows, count({c}) AS present, true AS near, count(DISTINCT {c}) / count(*) < 0.5 AS low_cardinality FROM orders"""
+    for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")))
+def chunk_summaries(spark, sf):
+    """Cardinalities of two deliveries of chunks from their summaries, within 5 % of the exact counts."""
+    path = scratch_path(spark, "summarised")
+    names = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+    orders = t.read(spark, sf, "orders").select(*names)
+    for part in (0, 1):
+        orders.filter(F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == part).write.option("maxRecordsPerFile", 5000).mode("append").parquet(path)
+        summaries.add_summaries(spark, path)
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in names])
+    exact = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in names])).alias("x")).select("x.*")
+    got = summaries.merged(spark, path).join(summaries.low_cardinality(spark, path).select("column", "low_cardinality"), "column")
+    return got.join(exact, "column").select("column", "rows", "present", (F.abs(F.col("distinct") / F.col("exact") - 1) < 0.05).alias("near"),
+                                            "low_cardinality")
+
+
 @query("conversion_report", "SELECT true AS smaller, true AS sizes_agree, count(*) AS rows FROM orders")
 def conversion_report(spark, sf):
     """Trades as JSON against the same rows as Parquet chunks."""
