@@ -3,7 +3,9 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from tidewick.operators import indicators as ind
 from tidewick.operators.indicators import full_panel, indicator_panel
 
 
@@ -87,3 +89,38 @@ def test_only_rises_gives_rsi_100(spark):
 def test_empty(spark):
     pdf = series("E", 5, 7)
     assert indicator_panel(spark.createDataFrame(pdf).limit(0)).count() == 0
+
+
+def test_carried_averages_equal_the_whole_series(spark):
+    """Five ranges, each with few rows before it and a few numbers of the past, against pandas."""
+    rng = np.random.default_rng(8)
+    n, keep = 1500, 30
+    close = 100 * np.exp(np.cumsum(rng.normal(0, 0.01, (2, n)), axis=1))
+    rows = [(s, i, float(close[k, i])) for k, s in enumerate("AB") for i in range(n if s == "A" else 700)]
+    df = spark.createDataFrame(rows, "symbol string, i long, close double").withColumns({
+        "timestamp": F.timestamp_seconds(F.col("i") * 60), **{x: F.col("close") for x in ("open", "high", "low")}, "volume": F.lit(1.0)}).cache()
+    want = {}
+    for k, s in enumerate("AB"):
+        x = pd.Series(close[k][:n if s == "A" else 700])
+        fast, slow = x.ewm(span=12).mean(), x.ewm(span=26).mean()
+        for i in range(len(x)):
+            want[s, i] = {}
+        for span in ind.EMA_SPANS:
+            for i, v in enumerate(x.ewm(span=span).mean()):
+                want[s, i][f"ema_{span}"] = v
+        for i, v in enumerate((fast - slow).ewm(span=9).mean()):
+            want[s, i]["macd_signal"] = v
+    history, seen = None, 0
+    for lo, hi in ((0, 20), (20, 45), (45, 600), (600, 1100), (1100, 1500)):
+        known = df.filter(f"i >= {max(0, lo - keep)} AND i < {hi}") if lo < 700 else df.filter(
+            f"(symbol = 'A' AND i >= {lo - keep} AND i < {hi}) OR (symbol = 'B' AND i >= {700 - keep})")
+        panel = ind.indicator_panel(known, history=history).cache()
+        for r in panel.collect():
+            for name in ind.CARRIED:
+                assert abs(r[name] - want[r.symbol, r.i][name]) <= 1e-12 * max(1, abs(want[r.symbol, r.i]["ema_5"])), (r.symbol, r.i, name)
+            seen += r.i >= lo
+        history = spark.createDataFrame(ind.averages_before(panel, history, keep).collect(),
+                                        "symbol string, rows long, " + ", ".join(f"{x} double" for x in ind.CARRIED))
+        assert history.count() <= 2 and len(history.columns) == 2 + len(ind.CARRIED)
+    assert seen == n + 700
+    assert {r.symbol: r.rows for r in history.collect()} == {"A": n - keep, "B": 700 - keep}

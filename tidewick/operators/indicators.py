@@ -31,6 +31,9 @@ OUTPUT = (
        "doji", "hammer", "shooting_star", "trend_short", "trend_medium", "trend_long",
        "resistance", "support", "price_vs_resistance", "price_vs_support"])
 
+#: Averages that remember the whole series: all that a series' past is needed for beyond its last rows.
+CARRIED = (*[f"ema_{n}" for n in EMA_SPANS], "macd_signal")
+
 _SUB_SMALL, _SUB_LARGE = 1024, 4096
 
 
@@ -61,10 +64,15 @@ class _Ewm:
         at_end = F.when(self.k == self.length - 1, F.col(local))
         return F.coalesce(F.last(at_end, ignorenulls=True).over(self.past), F.lit(0.0))
 
-    def mean(self, local: str, carry: str) -> Column:
+    def mean(self, local: str, carry: str, past: Column | None = None) -> Column:
+        """The average; ``past`` is its value at the last of ``_rows`` rows that came before these."""
         top = F.col(local) + F.col(carry) * F.exp(-(self.k + 1) * self.decay)
-        step = 1.0 - math.exp(-self.decay)
-        return top * step / (1.0 - F.exp(-(F.col("pos") + 1) * self.decay))
+        step, seen = 1.0 - math.exp(-self.decay), F.col("pos") + 1
+        if past is not None:
+            before = F.coalesce("_rows", F.lit(0))
+            sums = F.coalesce(past, F.lit(0.0)) * (1.0 - F.exp(-before * self.decay)) / step
+            top, seen = top + sums * F.exp(-seen * self.decay), seen + before
+        return top * step / (1.0 - F.exp(-seen * self.decay))
 
 
 def one_row_change(now: Column, before: Column) -> Column:
@@ -82,10 +90,12 @@ def _from(pos: int, x: Column) -> Column:
 def indicator_panel(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
                     time: str = "timestamp", bucket: Column | None = None,
                     price_trend: bool = False, rows_per_block: int = BLOCK_ROWS,
-                    halo: int = HALO_ROWS) -> DataFrame:
+                    halo: int = HALO_ROWS, history: DataFrame | None = None) -> DataFrame:
     """All columns of ``OUTPUT`` next to the input columns, plus ``pos``.
 
-    ``halo`` is at least the longest look-back and what the slowest average remembers.
+    ``halo`` is at least the longest look-back and what the slowest average remembers. ``history`` (keys, rows and
+    the columns of ``CARRIED``) says how many rows came before a key's first one here, and the averages at the last
+    of them: then the averages are those of the whole series.
 
     Select what is needed: unused windows are pruned by the optimizer. ``price_trend`` adds
     ``volume_price_trend``, whose block totals cost a second, narrower pass.
@@ -94,6 +104,10 @@ def indicator_panel(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
     df = blocked(candles, keys, [time], bucket=day_of(time) if bucket is None else bucket,
                  rows_per_block=rows_per_block, halo=halo)
     totals = _trend_totals(df, keys) if price_trend else None
+    past = {x: None for x in CARRIED}
+    if history is not None:
+        past = {x: F.col(f"_past_{x}") for x in CARRIED}
+        df = df.join(history.select(*keys, F.col("rows").alias("_rows"), *[F.col(x).alias(f"_past_{x}") for x in CARRIED]), keys, "left")
     df = df.withColumns({"_s4": F.expr(f"pos div {_SUB_LARGE}"),
                          "_s1": F.expr(f"pos div {_SUB_SMALL}")})
     w = block_window(keys, ["_s4", "_s1", "pos"])
@@ -136,7 +150,7 @@ def indicator_panel(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
         own = F.when(F.col("_own"), v * one_row_change(c, F.col("_prev")))
         df = df.withColumn("_local", F.sum(own).over(
             w.rowsBetween(Window.unboundedPreceding, 0)))
-    df = df.withColumns({f"ema_{n}": ewm[n].mean(f"_loc{n}", f"_car{n}") for n in EMA_SPANS})
+    df = df.withColumns({f"ema_{n}": ewm[n].mean(f"_loc{n}", f"_car{n}", past[f"ema_{n}"]) for n in EMA_SPANS})
     df = df.withColumns({"macd": F.col(f"ema_{MACD_FAST}") - F.col(f"ema_{MACD_SLOW}")})
     df = df.withColumns({
         "_sum100": F.col("_sum50") + F.lag("_sum50", 50).over(w),
@@ -155,7 +169,7 @@ def indicator_panel(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
         "rsi": _from(13, F.when(F.col("_loss14") == 0, F.when(F.col("_gain14") > 0, 100.0))
                      .otherwise(100.0 - 100.0 / (1.0 + ratio(F.col("_gain14"),
                                                              F.col("_loss14"))))),
-        "macd_signal": ewm[MACD_SIGNAL].mean("_locS", "_carS"),
+        "macd_signal": ewm[MACD_SIGNAL].mean("_locS", "_carS", past["macd_signal"]),
         "_sd20": _from(19, F.col("_sd20")),
         "stoch_d": F.when(F.col("_dn") == 3, F.col("_d3")),
         "volume_sma": _from(19, F.col("_vol20")),
@@ -187,6 +201,24 @@ def indicator_panel(candles: DataFrame, *, keys: Sequence[str] = ("symbol",),
                      *(["volume_price_trend"] if price_trend else []))
 
 
+def averages_before(panel: DataFrame, history: DataFrame | None, keep: int, *, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """``history`` for the last ``keep`` rows of each key in ``panel``, which was made with ``history``.
+
+    A few numbers for each key: the averages at the row before those kept. A key with no more than ``keep`` rows
+    keeps its history.
+    """
+    keys = list(keys)
+    last = panel.groupBy(*keys).agg((F.max("pos") - keep).alias("_at"))
+    at = panel.select(*keys, "pos", *CARRIED).join(last, keys).filter(F.col("pos") == F.col("_at"))
+    if history is None:
+        return at.select(*keys, (F.col("pos") + 1).alias("rows"), *CARRIED)
+    before = history.select(*keys, F.col("rows").alias("_rows"), *[F.col(x).alias(f"_{x}") for x in CARRIED])
+    both = at.join(before, keys, "full")
+    moved = F.col("pos").isNotNull()
+    return both.select(*keys, F.when(moved, F.coalesce("_rows", F.lit(0)) + F.col("pos") + 1).otherwise(F.col("_rows")).alias("rows"),
+                       *[F.when(moved, F.col(x)).otherwise(F.col(f"_{x}")).alias(x) for x in CARRIED])
+
+
 def candle_patterns(o: Column, h: Column, l: Column, c: Column) -> dict[str, Column]:
     return {
         "doji": flag(ratio(F.abs(o - c), h - l) < 0.1),

@@ -15,14 +15,13 @@ from tidewick.operators.live import (
     CONTEXT_BARS, CONTEXT_FIELDS, FEED_ROWS, context_indicators, momentum_5v5, momentum_verdict, recent_context)
 from tidewick.operators.resample import resample
 from tidewick.operators.risk import RiskLimits, prior_daily_counters, validate_signals
-from tidewick.operators.series import HALO_ROWS
 from tidewick.streaming.keyed import last_rows
-from tidewick.streaming.ranges import ClosedRanges
+from tidewick.streaming.ranges import CarriedRanges, ClosedRanges
 
 FEEDS = {"bar": schemas.BARS, "quote": schemas.QUOTES, "trade": schemas.TRADES}
 BUFFER_BARS, HISTORY_BARS = 1000, 100
-#: The longest look-back (1440 bars) on top of what the slowest average remembers.
-DECISION_BARS = HALO_ROWS + 1440
+#: The longest look-back; averages are carried.
+DECISION_BARS = 1440
 
 
 def stream_source(spark: SparkSession, path: str, feed: str | StructType, *,
@@ -135,16 +134,22 @@ def decide(bars: DataFrame, limits: RiskLimits, positions: DataFrame | None = No
     ``positions`` (symbol, qty) are the open ones, ``executed`` (timestamp, pnl) the trades done; the daily
     counters of a bar take the trades of its day before it.
     """
-    df = with_signal_advanced(indicator_panel(bars)).withColumn("action", F.expr(
+    return decide_panel(indicator_panel(bars), limits, positions, executed)
+
+
+def decide_panel(panel: DataFrame, limits: RiskLimits, positions: DataFrame | None = None,
+                 executed: DataFrame | None = None) -> DataFrame:
+    """``decide`` from the indicator panel of the bars."""
+    df = with_signal_advanced(panel).withColumn("action", F.expr(
         "CASE signal WHEN 'BUY' THEN 'buy' WHEN 'SELL' THEN 'sell' ELSE 'hold' END"))
     df = df.select("symbol", "timestamp", "close", "action", "confidence", "reasoning", F.lit(0).alias("account"))
-    spark = bars.sparkSession
+    spark = panel.sparkSession
     if executed is None:
         executed = spark.createDataFrame([], "timestamp timestamp, pnl double")
     if positions is None:
         positions = spark.createDataFrame([], "symbol string, qty double")
     # Counters restart each day, so only the trades of the bars' days matter: a range of dates that reaches the scan.
-    span = bars.agg(F.date_trunc("day", F.min("timestamp")).alias("lo"), F.max("timestamp").alias("hi")).first()
+    span = panel.agg(F.date_trunc("day", F.min("timestamp")).alias("lo"), F.max("timestamp").alias("hi")).first()
     if span["lo"] is not None:
         executed = executed.filter(F.col("timestamp").between(F.lit(span["lo"]), F.lit(span["hi"])))
     trades = executed.select("timestamp", "pnl", F.lit(1).alias("_done"))
@@ -156,18 +161,18 @@ def decide(bars: DataFrame, limits: RiskLimits, positions: DataFrame | None = No
     return judged.select("symbol", "timestamp", "close", "action", "confidence", "reasoning", "is_valid", "reason")
 
 
-def decide_step(root: str, limits: RiskLimits, delay: str, *,
+def decide_step(root: str, limits: RiskLimits, delay: str, *, keep: int = DECISION_BARS,
                 positions: Callable[[], DataFrame] | None = None,
                 executed: Callable[[], DataFrame] | None = None) -> ClosedRanges:
     """Step that gives a verdict on every bar once the watermark has passed it.
 
-    The kept bars cover the longest look-back and the memory of the slowest average. The account's tables
-    are read anew for each range.
+    The kept bars cover the longest look-back; exponential averages are carried as a few numbers for each symbol. The
+    account's tables are read anew for each range.
     """
-    def work(bars: DataFrame) -> DataFrame:
-        return decide(bars, limits, positions and positions(), executed and executed())
+    def work(panel: DataFrame) -> DataFrame:
+        return decide_panel(panel, limits, positions and positions(), executed and executed())
 
-    return ClosedRanges(root, work, keep=DECISION_BARS, delay=delay)
+    return CarriedRanges(root, work, keep=keep, delay=delay)
 
 
 def run_ranges(bars: DataFrame, step: ClosedRanges, checkpoint: str) -> DataFrame:

@@ -18,6 +18,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tidewick.operators.indicators import CARRIED, averages_before, indicator_panel
+
 
 class ClosedRanges:
     """A ``foreachBatch`` step; ``finish`` works on what still waits when the feed has ended."""
@@ -51,7 +53,9 @@ class ClosedRanges:
         spark.createDataFrame([(mark,)], "mark long").coalesce(1).write.mode("overwrite").parquet(self._path("mark", trigger))
         if mark is not None and mark != before:
             known = self._read(spark, "held", trigger, batch).filter(F.unix_micros(self.time) <= mark)
-            self._close(known, before, trigger)
+            self._close(known, before, trigger, trigger - 1)
+        else:
+            self._keep_state(spark, trigger, trigger - 1)
 
     def _held(self, spark: SparkSession, trigger: int, mark: int | None, like: DataFrame) -> tuple[DataFrame, DataFrame]:
         """What a trigger leaves behind: the bars that its mark has not passed, and each symbol's last ones before it."""
@@ -68,8 +72,13 @@ class ClosedRanges:
         return bars.groupBy(self.key, self.time).agg(kept).select(
             *[F.col(f"_kept.{c}") if c in rest else F.col(c) for c in bars.columns])
 
-    def _close(self, known: DataFrame, before: int | None, trigger: int) -> None:
-        out = self.work(known)
+    def _keep_state(self, spark: SparkSession, trigger: int, last: int) -> None:
+        """Nothing: what a range needs of the past are the held bars."""
+
+    def _close(self, known: DataFrame, before: int | None, trigger: int, last: int) -> None:
+        self._write(self.work(known), before, trigger)
+
+    def _write(self, out: DataFrame, before: int | None, trigger: int) -> None:
         if before is not None:  # the bars before it were held for their values only
             out = out.filter(F.unix_micros(self.time) > before)
         out.write.mode("overwrite").parquet(self._path("out", trigger))
@@ -80,8 +89,37 @@ class ClosedRanges:
         last = triggers.agg(F.max("trigger")).first()[0]
         mark = self._mark(spark, last)
         waiting, passed = self._held(spark, last, mark, spark.createDataFrame([], schema))
-        self._close(waiting.unionByName(passed), mark, last + 1)
+        self._close(waiting.unionByName(passed), mark, last + 1, last)
 
     def results(self, spark: SparkSession) -> DataFrame:
         """The output of all ranges; there is none before the first range has closed."""
         return spark.read.parquet(f"{self.root}/out").drop("trigger")
+
+
+class CarriedRanges(ClosedRanges):
+    """Ranges over the indicator panel, whose averages are carried as a few numbers for each key.
+
+    ``work`` gets the panel of a range and of the ``keep`` bars before it. Without carried numbers the held bars would
+    have to cover all that the slowest average remembers.
+    """
+
+    def _state(self, spark: SparkSession, trigger: int) -> DataFrame | None:
+        if trigger < 0:
+            return None
+        columns = ", ".join(f"{x} double" for x in CARRIED)
+        return spark.read.schema(f"{self.key} string, rows long, {columns}").parquet(self._path("state", trigger))
+
+    def _keep_state(self, spark: SparkSession, trigger: int, last: int) -> None:
+        state = self._state(spark, last)
+        if state is None:
+            columns = ", ".join(f"{x} double" for x in CARRIED)
+            state = spark.createDataFrame([], f"{self.key} string, rows long, {columns}")
+        state.coalesce(1).write.mode("overwrite").parquet(self._path("state", trigger))
+
+    def _close(self, known: DataFrame, before: int | None, trigger: int, last: int) -> None:
+        history = self._state(known.sparkSession, last)
+        panel = indicator_panel(known, keys=[self.key], time=self.time, history=history)
+        panel.write.mode("overwrite").parquet(self._path("panel", trigger))
+        panel = known.sparkSession.read.schema(panel.schema).parquet(self._path("panel", trigger))
+        averages_before(panel, history, self.keep, keys=[self.key]).coalesce(1).write.mode("overwrite").parquet(self._path("state", trigger))
+        self._write(self.work(panel), before, trigger)
