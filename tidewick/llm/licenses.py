@@ -105,6 +105,7 @@ def scan(files: DataFrame, known: DataFrame, least: float = LEAST) -> DataFrame:
     speaks = F.coalesce(F.col("path").rlike(FILE_NAME), F.lit(False)) | F.coalesce("speaks", F.lit(False))
     own = licence_text(F.col("path"), F.col("text"))
     files = files.select("file", "path", speaks.alias("speaks"), own.alias("text"), F.xxhash64("file", F.col("file").isNull(), own).alias("_id"))
+    files = kept(files, "licence-lines")  # few lines of each text; the texts are read once
     found = matches(files.filter("text IS NOT NULL").select(F.col("_id").alias("file"), "text"), known, least)
     found = found.withColumnRenamed("file", "_id")
     rows = files.select("file", "path", "speaks", "_id").join(found, "_id", "left").withColumn("directory", _parent(F.col("path")))
