@@ -389,13 +389,13 @@ _DELAY = "6 hours"
 
 
 def _feed_files(spark, rows, at="timestamp"):
-    """A feed of five files that overlap by up to six hours."""
+    """A feed of four files that overlap by up to six hours."""
     path = scratch_path(spark, "feed")
     rows = written(rows, "feed-rows")
     late = F.expr("INTERVAL 1 MINUTE") * F.pmod(F.xxhash64(*[c for c, k in rows.dtypes if k != "double"]), F.lit(360))
-    part = F.datediff(F.col(at) + late, F.lit("2024-01-01")) / 6
-    for n in range(5):  # the first and the last file also hold what lies outside
-        inside = (F.lit(True) if n == 0 else part >= n) & (F.lit(True) if n == 4 else part < n + 1)
+    part = F.datediff(F.col(at) + late, F.lit("2024-01-01")) / 8
+    for n in range(4):  # the first and the last file also hold what lies outside
+        inside = (F.lit(True) if n == 0 else part >= n) & (F.lit(True) if n == 3 else part < n + 1)
         rows.filter(inside).coalesce(1).write.mode("append").parquet(path)
     return path
 
