@@ -1,6 +1,7 @@
 """Repeated passages, repeated bytes, near copies and components against brute force."""
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
@@ -164,6 +165,20 @@ def test_links_of_a_hot_key(spark, monkeypatch):
     assert least_reachable(prints, got) == least_reachable(prints, every)
 
 
+def test_any_bytes_that_are_shared_meet_in_a_key():
+    for shared in itertools.combinations(range(8), 4):
+        assert any(set(places) <= set(shared) for places in simhash.PLACES)
+    assert len(simhash.PLACES) == 20
+
+
+def test_pairs_that_share_too_few_bytes_are_dropped():
+    """Three equal bytes let a pair meet; the tally over all eight tells it from one with four."""
+    base = 0x1122334455667788
+    near, far = base ^ 0x01_01_01_01_00_00_00_00, base ^ 0x01_01_01_01_01_00_00_00
+    other = np.array([base, near, far], np.uint64)
+    assert simhash._near(np.uint64(base), other).tolist() == [True, True, False]
+
+
 def test_near_copies_odd_rows(spark):
     rows = [(4, "a b c d e"), (4, "a b c d e"), (None, "a b c d e"), (None, "other words than these"), (6, None), (7, "")]
     got = sorted(((r.doc_id, r.component_id) for r in simhash.near_copies(frame(spark, rows)).collect()), key=repr)

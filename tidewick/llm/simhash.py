@@ -1,9 +1,10 @@
 """Near copies by 64-bit fingerprints, found through an index of their bytes by position.
 
-Fingerprints that differ in at most 4 bits agree in at least 4 of their 8 bytes. Every fingerprint is
-posted under each choice of 4 byte positions with the bytes there (70 keys of 32 bits), so that such a
-pair meets at least once. Where two meet, the bytes they share by position are counted, pairs with
-fewer than the guaranteed number are dropped without a look at their bits, and the rest is verified.
+Fingerprints that differ in at most 4 bits agree in at least 4 of their 8 bytes. Lists of single bytes would
+grow with the corpus, so a fingerprint is posted under 3 bytes at a time, at the fewest choices of positions of
+which any 4 positions hold one (20 keys of 24 bits): a pair that agrees in 4 bytes meets. Where two meet, the bytes
+they share by position are counted over all 8, pairs with fewer than the guaranteed 4 are dropped without a
+look at their bits (most that meet by chance share the 3 of the key alone), and the rest is verified.
 
 Only distinct fingerprints are posted, so copies cost nothing. A key that many fingerprints share is cut
 into blocks of a fixed size that meet two by two, each pair of blocks in its own group; a group returns
@@ -30,7 +31,24 @@ SHINGLE, SEED = 4, 42
 BLOCK = 1024
 BYTES, DIFFER = 8, 4
 SHARED = BYTES - DIFFER
-PLACES = list(combinations(range(BYTES), SHARED))
+#: Bytes of a key.
+POSTED = SHARED - 1
+
+
+def _places() -> list[tuple[int, ...]]:
+    """Choices of ``POSTED`` positions such that any ``SHARED`` positions hold one (Turan's construction).
+
+    Positions lie in three circles by their rest; a choice lies in one circle, or two of it in one and
+    the third in the next. Four positions always hold such a choice.
+    """
+    def fits(choice: tuple[int, ...]) -> bool:
+        n = [sum(x % 3 == r for x in choice) for r in range(3)]
+        return 3 in n or (2 in n and n[(n.index(2) + 1) % 3] == 1)
+
+    return [c for c in combinations(range(BYTES), POSTED) if fits(c)]
+
+
+PLACES = _places()
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -140,8 +158,8 @@ def _keys():
     """Fingerprint -> array of keys: number of the byte positions, then the bytes there."""
     byte = [F.shiftrightunsigned("print", 8 * i).bitwiseAND(255) for i in range(BYTES)]
     return F.array(*[
-        sum((F.shiftleft(byte[i], 8 * (SHARED - 1 - n)) for n, i in enumerate(places)),
-            F.lit(number << 32).cast("bigint")) for number, places in enumerate(PLACES)])
+        sum((F.shiftleft(byte[i], 8 * (POSTED - 1 - n)) for n, i in enumerate(places)),
+            F.lit(number << 8 * POSTED).cast("bigint")) for number, places in enumerate(PLACES)])
 
 
 def links(prints: DataFrame) -> DataFrame:
