@@ -193,6 +193,33 @@ def test_leaks_recall_up_to_all_edits(spark, script, rate):
     assert len(held) >= 50 and len(set(got) - short) >= 0.9 * len(held - short)
 
 
+@pytest.mark.parametrize("kind", ["replaced", "missing", "added", "all three"])
+@pytest.mark.parametrize("every", [5, 6, 7, 8, 9])
+def test_leaks_recall_with_evenly_spread_edits(spark, kind, every):
+    """Items with an edit at every 5th to 9th character, so that no long run stays as it was."""
+    rng = random.Random(f"{kind} {every}")
+
+    def prose(n):
+        return "".join(" " if i % 6 == 5 else rng.choice("etaoinshrdlu") for i in range(n))
+
+    def spread(text):
+        out = []
+        for n, c in enumerate(text, 1):
+            way = rng.choice(["replaced", "missing", "added"]) if kind == "all three" else kind
+            out.append(c if n % every else {"replaced": "Q", "missing": "", "added": c + "q"}[way])
+        return "".join(out).lower()
+
+    items = [(n, prose((20, 50, 80, 100, 120, 150, 200, 300)[n % 8]).strip()) for n in range(160)]
+    hosts = [(n, prose(300) + spread(x) + prose(300)) for n, x in items]
+    least = {n: decontamination.edit_distance_in(x, " ".join(t.split()), len(x) // 5)[0] for (n, x), (_, t) in zip(items, hosts)}
+    held = {n for n, x in items if least[n] <= len(x) // 5}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r.edits for r in decontamination.leaks(frame(spark, hosts), bench).filter("doc_id = item_id").collect()}
+    assert len(held) >= 120 and set(got) <= held
+    assert {n for n in held if len(items[n][1]) < 100} <= set(got)
+    assert len(got) >= 0.95 * len(held), f"{len(got)} of {len(held)}"
+
+
 def test_leaks_query_finds_all_exact_passages(spark):
     rows = [(r.doc_id, " ".join(r.text.lower().split())) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     items = [(r.item_id, " ".join(r.text.lower().split())) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

@@ -6,7 +6,10 @@ window, so words, their lengths and scripts do not matter.
 - An item of fewer than 100 characters is cut into pieces of up to 32, which share its edits: if the item is
   held, some piece is within its own share, and of the piece's parts, one more than its edits, one is
   unchanged. These parts are the seeds, so no such item is missed.
-- In a longer item any 8 characters are a seed. Of its pieces, those around a seed may have 30 % edits.
+- In a longer item any 8 characters are a seed. So are 5 and 5 characters around one edit, and 4, 4 and 4 around
+  two, which edits leave that are spread so evenly that no 8 characters stay (every 5th to 8th). An edit may be a
+  replaced, a missing or an added character. These seeds are numerous, so both sides use only those that a hash
+  of their first 4 characters chooses, one in 4. Of the item's pieces, those around a seed may have 30 % edits.
 
 Pieces around seeds are compared with the text for all seeds of a block at once (Myers' bit vectors); where one
 is near, the whole item is verified by exact edit distance.
@@ -18,6 +21,7 @@ the documents for each block, so their size is bounded whatever the benchmark's.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +34,10 @@ from tidewick.llm.textblock import blocks
 EDITS = 0.2
 #: Windows of items: characters of a piece, and of an item from which on any run of SEED characters is a seed.
 PIECE, LONG, SEED = 32, 100, 8
+#: Characters of each unchanged run of a seed around edits, and how many edits it spans.
+SPLIT_SEEDS = ((5, 1), (4, 2))
+#: Of these seeds those are used whose first characters hash to the first of so many classes.
+CLASSES = 4
 #: Part of a piece of a long item that may be edited: edits are not spread evenly over an item.
 PIECE_EDITS = 0.3
 #: Bits of a character that seeds and pieces compare; what differs in others only is told apart by the last check.
@@ -68,12 +76,34 @@ def _slot(grams: np.ndarray, bits: int) -> np.ndarray:
     return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).view(np.int64)
 
 
+def _chosen(grams: np.ndarray) -> np.ndarray:
+    """Places whose first characters choose them for seeds around edits."""
+    first = _part(grams, min(run for run, _ in SPLIT_SEEDS))
+    first *= np.uint64(0x9E3779B97F4A7C15)
+    return np.flatnonzero(first < np.uint64((1 << 64) // CLASSES))
+
+
+def _around_edits(grams: np.ndarray, at: np.ndarray, run: int, steps: tuple[int, ...]) -> np.ndarray:
+    """One number for the runs of characters that begin at the places and after each of the steps."""
+    key = _part(grams.take(at), run)
+    for step in steps:
+        at = at + step
+        key = key * np.uint64(0xD6E8FEB86659FD93) + _part(grams.take(at, mode="clip"), run)
+    return key
+
+
+def _edited_steps(run: int, edits: int) -> Iterator[tuple[tuple[int, ...], tuple[int, ...]]]:
+    """(steps in the item, steps in a text) from run to run: characters replaced, missing or added."""
+    for each in product(((run + 1, run + 1), (run + 1, run), (run, run + 1)), repeat=edits):
+        yield tuple(i for i, _ in each), tuple(t for _, t in each)
+
+
 class Seeds:
     """Seeds of a block of items, and the pieces of items around them."""
 
     def __init__(self, texts: list[str]):
         self.size, self.most, self.item, self.offset, peq = [], [], [], [], []
-        found: dict[int, list[np.ndarray]] = {}
+        found: dict[tuple[int, tuple[int, ...]], list[np.ndarray]] = {}
         for i, text in enumerate(texts):
             n, symbols = len(text), _symbols(text)
             if n == 0:
@@ -96,25 +126,34 @@ class Seeds:
                     cut = [a + (b - a) * x // (e + 1) for x in range(e + 2)]
                     for x, y in zip(cut, cut[1:]):
                         size = min(SEED, y - x)
-                        found.setdefault(size, []).append(np.array([[int(_part(grams[x:x + 1], size)[0]), p, x - a]], np.int64))
+                        found.setdefault((size, ()), []).append(np.array([[int(_part(grams[x:x + 1], size)[0]), p, x - a]], np.int64))
             else:
+                begin = np.array([a for a, _, _ in pieces])
+
+                def add(kind: tuple[int, tuple[int, ...]], x: np.ndarray, keys: np.ndarray, span: int) -> None:
+                    p = np.minimum(np.maximum(0, x + span // 2 - PIECE // 4) // (PIECE // 2), len(pieces) - 1)
+                    found.setdefault(kind, []).append(np.stack([keys.view(np.int64), first + p, x - begin[p]], axis=1))
+
                 x = np.arange(n - SEED + 1)
-                p = np.minimum(np.maximum(0, x + SEED // 2 - PIECE // 4) // (PIECE // 2), len(pieces) - 1)
-                found.setdefault(SEED, []).append(np.stack(
-                    [grams[x].view(np.int64), first + p, x - np.array([a for a, _, _ in pieces])[p]], axis=1))
+                add((SEED, ()), x, grams[x], SEED)
+                chosen = _chosen(grams)
+                for run, edits in SPLIT_SEEDS:
+                    for own, steps in _edited_steps(run, edits):
+                        x = chosen[chosen <= n - sum(own) - run]
+                        add((run, steps), x, _around_edits(grams, x, run, own), sum(own) + run)
         self.size, self.most, self.item, self.offset = (
             np.array(x, np.int64) for x in (self.size, self.most, self.item, self.offset))
         self.peq = np.stack(peq) if peq else np.zeros((0, 1 << BITS), np.uint32)
-        #: size of a seed -> (bits of a hash, which hashes occur, keys in order, first row of each, pieces, places in them)
+        #: (size of a seed or its runs, steps between these) -> (bits of a hash, which hashes occur, keys in order, first row of each, pieces, places in them)
         self.tables = {}
-        for size, rows in found.items():
+        for kind, rows in found.items():
             table = np.concatenate(rows)
-            table = table[np.argsort(table[:, 0], kind="stable")]
-            keys, first = np.unique(table[:, 0].astype(np.uint64), return_index=True)
+            table = table[np.argsort(table[:, 0].view(np.uint64), kind="stable")]
+            keys, first = np.unique(table[:, 0].view(np.uint64), return_index=True)
             bits = max(16, (16 * len(keys)).bit_length())
             maybe = np.zeros(1 << bits, bool)
             maybe[_slot(keys, bits)] = True
-            self.tables[size] = bits, maybe, keys, np.append(first, len(table)), table[:, 1], table[:, 2]
+            self.tables[kind] = bits, maybe, keys, np.append(first, len(table)), table[:, 1], table[:, 2]
 
     def hits(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, piece, where it should begin) of the pieces whose edits around a seed are few enough.
@@ -123,12 +162,16 @@ class Seeds:
         """
         n = len(symbols)
         grams, out = _grams(symbols), [(np.zeros(0, np.int64),) * 3]
-        for size, (bits, maybe, keys, first, pieces, places) in self.tables.items():
-            gram = _part(grams, size)
+        chosen = _chosen(grams) if any(steps for _, steps in self.tables) else None
+        for (size, steps), (bits, maybe, keys, first, pieces, places) in self.tables.items():
+            gram = _around_edits(grams, chosen, size, steps) if steps else _part(grams, size)
             at = np.flatnonzero(maybe.take(_slot(gram, bits)))
-            key = np.searchsorted(keys, gram[at])
-            same = keys.take(key, mode="clip") == gram[at]
+            gram = gram[at]
+            key = np.searchsorted(keys, gram)
+            same = keys.take(key, mode="clip") == gram
             at, key = at[same], key[same]
+            if steps:
+                at = chosen[at]
             many = first[key + 1] - first[key]
             total = np.cumsum(many)
             cut = np.flatnonzero(np.diff(total // MATCHES)) + 1
